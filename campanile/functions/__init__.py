@@ -5,9 +5,10 @@ from campanile.functions.metrics import (
     count_where, from_micros, in_percent, in_thousands, micros, pivot_count,
     pivot_count_or_null, performance_score, ratio, safe_div,
 )
+from campanile.functions.once import with_parsed
 
 __all__ = [
     "category_bucket", "count_where", "ctr_tier", "from_micros", "in_percent",
     "in_thousands", "micros", "performance_score", "pivot_count",
-    "pivot_count_or_null", "quadrant", "ratio", "safe_div",
+    "pivot_count_or_null", "quadrant", "ratio", "safe_div", "with_parsed",
 ]

@@ -37,14 +37,20 @@ def first_positions(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame
     return df.groupBy(*keys).agg(F.min(order).alias(order))
 
 
-def flag_repeats(df: DataFrame, keys: Sequence[str], order: str, flag: str = "is_repeat") -> DataFrame:
+def flag_repeats(
+    df: DataFrame, keys: Sequence[str], order: str, flag: str = "is_repeat", among: Column | None = None,
+) -> DataFrame:
     """Mark every row that is not the first of its key.
 
-    ``order`` must be unique within a key.
+    ``order`` must be unique within a key.  With ``among``, only rows meeting
+    the condition compete; the others are never marked.
     """
-    firsts = first_positions(df, keys, order).withColumn("_first", F.lit(True))
-    joined = df.join(firsts, [*keys, order], "left")
-    return joined.withColumn(flag, F.col("_first").isNull()).drop("_first")
+    competing = df if among is None else df.filter(among)
+    firsts = first_positions(competing, keys, order).withColumn("_first", F.lit(True))
+    repeat = F.col("_first").isNull()
+    if among is not None:
+        repeat = among & repeat
+    return df.join(firsts, [*keys, order], "left").withColumn(flag, repeat).drop("_first")
 
 
 def repeated_records(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

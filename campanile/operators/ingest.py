@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from campanile import schemas
+from campanile.functions import with_parsed
 
 # Fill for absent text, category, amount and flag fields.
 UNKNOWN = "unknown"
@@ -17,7 +18,8 @@ def parse_events(messages: DataFrame) -> DataFrame:
     Unknown fields are ignored, absent ones are NULL; malformed messages give a
     row of NULLs (:mod:`campanile.operators.quality` separates those).
     """
-    parsed = messages.select(F.from_json(F.col("value").cast("string"), schemas.EVENT).alias("e"))
+    text = messages.select(F.col("value").cast("string").alias("value"))
+    parsed = with_parsed(text, "e", F.from_json("value", schemas.EVENT))
     return parsed.select("e.*").withColumn("event_timestamp", F.col("timestamp"))
 
 
@@ -36,9 +38,8 @@ def enrich_events(events: DataFrame) -> DataFrame:
 
 def parse_event_batches(messages: DataFrame) -> DataFrame:
     """Envelope JSON to ``batch_id``, ``source`` and the ``events`` array."""
-    parsed = messages.withColumn("b", F.from_json("value", schemas.ENVELOPE))
-    kept = [c for c in messages.columns]
-    return parsed.select(*kept, F.col("b.batch_id"), F.col("b.source"), F.col("b.events"))
+    parsed = with_parsed(messages, "b", F.from_json("value", schemas.ENVELOPE))
+    return parsed.select(*messages.columns, "b.*")
 
 
 def explode_event_batches(batches: DataFrame) -> DataFrame:

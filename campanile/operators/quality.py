@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from campanile import schemas
+from campanile.functions import with_parsed
 from campanile.operators.dedupe import flag_repeats
 from campanile.operators.ingest import parse_event_batches
 
@@ -57,8 +58,7 @@ def validate_events(messages: DataFrame) -> DataFrame:
 
     A field that is there with the value null counts as present.
     """
-    fields = F.from_json(F.col("value"), "map<string,string>")
-    checked = messages.withColumn("_fields", fields)
+    checked = with_parsed(messages, "_fields", F.from_json("value", "map<string,string>"))
     absent = [
         (f"missing {name}", ~F.map_contains_key("_fields", name)) for name in REQUIRED_FIELDS
     ]
@@ -74,11 +74,12 @@ def quarantine_events(messages: DataFrame) -> DataFrame:
     parsed once; only those lacking a required value are looked at again to
     tell malformed, absent and null apart.
     """
-    parsed = messages.withColumn("e", F.from_json("value", schemas.EVENT))
+    parsed = with_parsed(messages, "e", F.from_json("value", schemas.EVENT))
     lacking = F.lit(False)
     for name in REQUIRED_FIELDS:
         lacking = lacking | F.col(f"e.{name}").isNull()
-    parsed = parsed.withColumn("_fields", F.when(lacking, F.from_json("value", "map<string,string>")))
+    fields = F.when(lacking, F.from_json("value", "map<string,string>"))
+    parsed = with_parsed(parsed, "_fields", fields)
     amount = F.coalesce("e.spend_usd", "e.bid_amount_usd")
     reason = first_reason(
         ("malformed json", lacking & F.col("_fields").isNull()),
@@ -158,9 +159,7 @@ def ingest_batches(
         F.when(broken, F.struct(F.lit(field).alias("field"), F.lit(text).alias("text"))) for field, text, broken in rules
     ])
     checked = parsed.withColumn("_bad", reason)
-    sound = checked.filter(F.col("_bad").isNull())
-    unsound = checked.filter(F.col("_bad").isNotNull()).withColumn("_repeat", F.lit(False))
-    judged = flag_repeats(sound, ["batch_id"], order, "_repeat").unionByName(unsound)
+    judged = flag_repeats(checked, ["batch_id"], order, "_repeat", among=F.col("_bad").isNull())
     return judged.select(
         *parsed.columns,
         F.when(F.col("_repeat"), "batch_id").otherwise(F.col("_bad.field")).alias("reject_field"),

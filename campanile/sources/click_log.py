@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from campanile.functions import with_parsed
 from campanile.schemas import CATEGORIES, CLICK_LOG_COLUMNS
 
 MISSING = "-1"
@@ -22,7 +23,7 @@ def split_click_log(lines: DataFrame) -> DataFrame:
 
     The CSV reader would pad short lines with NULL, so lines are split here.
     """
-    parts = lines.select(F.split("value", "\t").alias("p"))
+    parts = with_parsed(lines, "p", F.split("value", "\t"))
     kept = parts.filter(F.size("p") >= len(CLICK_LOG_COLUMNS))
     return kept.select(*[F.col("p")[i].alias(name) for i, name in enumerate(CLICK_LOG_COLUMNS)])
 

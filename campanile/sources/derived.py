@@ -258,7 +258,7 @@ def click_log_lines(spark: SparkSession, folder: str) -> DataFrame:
         "product_category_1": F.col("l_partkey") % 7,
         "product_category_2": F.lit("-1"),
         "product_category_3": F.lit(""),
-        "product_category_4": F.lit("x"),
+        "product_category_4": F.when(line == 2, "x").otherwise(supplier.cast("string")),
         "product_category_5": line,
         "product_category_6": supplier,
         "product_category_7": F.lit("-1"),
@@ -269,6 +269,6 @@ def click_log_lines(spark: SparkSession, folder: str) -> DataFrame:
         "user_id": missing_if(order % 50 == 0, order),
     }
     fields = [values[name].cast("string") for name in CLICK_LOG_COLUMNS]
-    whole = F.concat_ws("\t", *fields)
-    short = F.concat_ws("\t", *fields[:-1])
-    return read_table(spark, folder, "lineitem").select(F.when(line == 6, short).otherwise(whole).alias("value"))
+    whole = read_table(spark, folder, "lineitem").select("l_linenumber", F.concat_ws("\t", *fields).alias("value"))
+    short = F.substring_index("value", "\t", len(fields) - 1)
+    return whole.select(F.when(line == 6, short).otherwise(F.col("value")).alias("value"))
