@@ -1,6 +1,8 @@
 """Compare every registered query with its SQL twin, run by DuckDB.
 
-    python tests/oracle_check.py [folder] [query ...]
+    python tests/oracle_check.py [--exact] [folder] [query ...]
+
+With ``--exact`` values and types must be identical.
 """
 
 from __future__ import annotations
@@ -29,8 +31,13 @@ def duck(folder: str):
     return con
 
 
+EXACT = "--exact" in sys.argv
+
+
 def plain(value):
     """A comparable form: floats to 9 significant digits, times as text."""
+    if EXACT:
+        return repr(value)
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, bool) or value is None:
@@ -67,13 +74,14 @@ def main() -> None:
     import __spark_entry__ as entry
     from campanile.session import build_session
 
-    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if a != "--exact"]
+    folder = args[0] if args else "/root/testdata/sf0.01"
     spark = build_session(master="local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
                           spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, sql = duck(folder), entry.queries(), entry.oracle_sql()
     failed = 0
-    for name in sys.argv[2:] or queries:
+    for name in args[1:] or queries:
         start = time.time()
         try:
             found = difference(name, queries[name](spark, folder), con, sql[name]) if name in sql else "no SQL"
