@@ -14,8 +14,17 @@ MICROS = 1_000_000
 
 
 def micros(amount: Column) -> Column:
-    """A money amount as whole micro-units; overflow and NaN raise (ANSI)."""
-    return F.rint(amount * F.lit(float(MICROS))).cast("bigint")
+    """A money amount as whole micro-units, rounded as a cast to ``DECIMAL(18, 6)``.
+
+    Scaling in double precision is exact enough unless the amount is large or
+    close to a tie; those few go through the decimal.  NaN and amounts beyond the
+    money type raise (ANSI) instead of vanishing from a sum.
+    """
+    scaled = amount * F.lit(float(MICROS))
+    nearest = F.rint(scaled)
+    doubtful = (F.abs(amount) >= 1e8) | (F.abs(scaled - nearest) >= 0.48)
+    exact = (amount.cast("decimal(18,6)") * F.lit(MICROS)).cast("bigint")
+    return F.when((F.abs(amount) < 1e12) & doubtful, exact).otherwise(nearest.cast("bigint"))
 
 
 def from_micros(total: Column) -> Column:
