@@ -58,12 +58,12 @@ def count_where(condition: Column) -> Column:
 
 def pivot_count(event_type: str) -> Column:
     """Events of one type; 0 when the group has none of that type."""
-    return F.sum(F.when(F.col("event_type") == event_type, F.col("event_count")).otherwise(F.lit(0)))
+    return F.expr(f"sum(CASE WHEN event_type = '{event_type}' THEN event_count ELSE 0 END)")
 
 
 def pivot_count_or_null(event_type: str) -> Column:
     """Events of one type; NULL when the group has none (``FILTER`` semantics)."""
-    return F.sum(F.when(F.col("event_type") == event_type, F.col("event_count")))
+    return F.expr(f"sum(event_count) FILTER (WHERE event_type = '{event_type}')")
 
 
 def performance_score(ctr: Column, conversion_rate: Column, spend: Column, conversions: Column) -> Column:

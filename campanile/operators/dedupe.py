@@ -8,6 +8,8 @@ rows are then matched on key *and* position, which spreads any key evenly.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,18 +21,14 @@ def file_position() -> Column:
     return F.struct("_metadata.file_path", "_metadata.row_index")
 
 
-def record_key(*fields: str) -> Column:
-    """Trimmed fields joined by a colon; NULL when any is missing or blank."""
-    trimmed = [F.trim(F.col(f).cast("string")) for f in fields]
-    present = [F.when(t != "", t) for t in trimmed]
-    return F.when(
-        F.forall(F.array(*present), lambda t: t.isNotNull()), F.concat_ws(KEY_SEPARATOR, *present)
-    )
-
-
 def with_record_key(df: DataFrame, *fields: str) -> DataFrame:
-    """Rows with a usable key, in column ``record_key``; others are skipped."""
-    return df.withColumn("record_key", record_key(*fields)).filter(F.col("record_key").isNotNull())
+    """Add ``record_key``, the trimmed fields joined by a colon.
+
+    Rows with a missing or blank field have no key and are skipped.
+    """
+    trimmed = [F.trim(F.col(f).cast("string")) for f in fields]
+    usable = df.filter(reduce(and_, [t != "" for t in trimmed]))
+    return usable.withColumn("record_key", F.concat_ws(KEY_SEPARATOR, *trimmed))
 
 
 def first_positions(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -57,7 +57,7 @@ def _stats(spark, folder, dims: Sequence[str] = (), window: str = "1 day") -> Da
 
 @query()
 def parse_events(spark, folder):
-    parsed = ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder)))
+    parsed = ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder, spread_rows=True)))
     return parsed.select(
         "event_timestamp", "campaign_id", "event_type", "user_id", "spend_usd", "device_type",
         "product_category_1", "sales_amount_euro",
@@ -66,7 +66,7 @@ def parse_events(spark, folder):
 
 @query()
 def enrich_events(spark, folder):
-    parsed = ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder)))
+    parsed = ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder, spread_rows=True)))
     return ingest.enrich_events(parsed).select(
         "event_timestamp", "campaign_id", "event_type", "total_bid_amount", "device_type", "country_code",
         "product_age_group", "product_category_1", "product_category_2", "sale",
@@ -487,26 +487,26 @@ def root_cause_point(spark, folder):
 
 @query()
 def validate_events(spark, folder):
-    checked = quality.validate_events(derived.faulty_messages(derived.ad_events(spark, folder)))
+    checked = quality.validate_events(derived.faulty_messages(derived.ad_events(spark, folder, spread_rows=True)))
     return checked.groupBy("reject_reason").agg(F.count("*").alias("message_count"))
 
 
 @query()
 def quarantine_events(spark, folder):
-    checked = quality.quarantine_events(derived.faulty_messages(derived.ad_events(spark, folder)))
+    checked = quality.quarantine_events(derived.faulty_messages(derived.ad_events(spark, folder, spread_rows=True)))
     return quality.rejected(checked).groupBy("reject_reason").agg(F.count("*").alias("message_count"))
 
 
 @query()
 def stats_without_rejects(spark, folder):
-    checked = quality.quarantine_events(derived.faulty_messages(derived.ad_events(spark, folder)))
+    checked = quality.quarantine_events(derived.faulty_messages(derived.ad_events(spark, folder, spread_rows=True)))
     stats = aggregate.aggregate_events(ingest.enrich_events(quality.accepted(checked)), "1 day")
     return _doubles(stats, "total_bid_amount")
 
 
 @query()
 def quality_counts(spark, folder):
-    checked = quality.validate_events(derived.faulty_messages(derived.ad_events(spark, folder)))
+    checked = quality.validate_events(derived.faulty_messages(derived.ad_events(spark, folder, spread_rows=True)))
     return quality.quality_counts(checked)
 
 
@@ -655,8 +655,8 @@ def _event_stream(spark, folder):
     return derived.to_ad_events(event_sources.read_table_stream(spark, folder, "events.parquet", schema))
 
 
-def _drain(stream: DataFrame, spark: SparkSession, name: str, keys: Sequence[str], date_col: str | None):
-    """Run a stream to its end into a new table and return the current values."""
+def _drain(stream: DataFrame, spark: SparkSession, name: str, date_col: str | None = "window_start_time"):
+    """Run a stream to its end into a new table and return all versions in it."""
     place = session.scratch_dir(spark, name)
     running = stats_job.start_stats_stream(
         stream, f"{place}/table", f"{place}/checkpoint", place.rsplit("/", 1)[-1],
@@ -669,25 +669,21 @@ def _drain(stream: DataFrame, spark: SparkSession, name: str, keys: Sequence[str
 @query()
 def stream_minute_stats(spark, folder):
     stats = stats_job.event_stats(derived.event_messages(_event_stream(spark, folder)))
-    keys = ("campaign_id", "event_type", "window_start_time")
-    current = stats_table.latest_stats(_drain(stats, spark, "stats", keys, "window_start_time"), keys)
+    current = stats_table.latest_stats(_drain(stats, spark, "stats"))
     return _doubles(current, "total_bid_amount").drop("updated_at")
 
 
 @query()
 def stream_stats_with_rejects(spark, folder):
     stats = stats_job.event_stats(derived.faulty_messages(_event_stream(spark, folder)), "1 day")
-    keys = ("campaign_id", "event_type", "window_start_time")
-    current = stats_table.latest_stats(_drain(stats, spark, "stats", keys, "window_start_time"), keys)
+    current = stats_table.latest_stats(_drain(stats, spark, "stats"))
     return _doubles(current, "total_bid_amount").drop("updated_at")
 
 
 @query()
 def stream_arrival_totals(spark, folder):
     events = _event_stream(spark, folder).withColumn("total_bid_amount", F.col("spend_usd"))
-    keys = ("campaign_id", "event_type", "window_start_time")
-    slots = _drain(arrival.aggregate_by_arrival(events), spark, "arrival", keys, "window_start_time")
-    current = stats_table.latest_stats(slots, keys)
+    current = stats_table.latest_stats(_drain(arrival.aggregate_by_arrival(events), spark, "arrival"))
     totals = current.groupBy("campaign_id", "event_type").agg(
         F.sum("event_count").alias("event_count"), F.sum("total_bid_amount").alias("total_bid_amount")
     )
@@ -697,6 +693,6 @@ def stream_arrival_totals(spark, folder):
 @query()
 def stream_repeats(spark, folder):
     events = dedupe.with_record_key(_event_stream(spark, folder), "campaign_id", "event_type")
-    versions = _drain(repeats.key_counts(events), spark, "repeats", ("record_key",), None)
+    versions = _drain(repeats.key_counts(events), spark, "repeats", date_col=None)
     found = repeats.repeats_by_batch(versions)
     return found.groupBy("record_key").agg(F.sum("repeats").alias("repeats"))

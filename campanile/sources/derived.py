@@ -14,16 +14,16 @@ from campanile.functions import from_micros, micros
 from campanile.operators.aggregate import aggregate_events
 from campanile.operators.dedupe import file_position
 from campanile.schemas import CLICK_LOG_COLUMNS
-from campanile.sources.tables import read_table
+from campanile.sources.tables import read_table, spread
 
 # Order dates end in 2001 and events in 2024; runs are shifted onto the events.
 RUN_SHIFT_DAYS = 8217
-JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
-def _pick(index: Column, *values: str | None) -> Column:
-    """The value at a position, counted from 0."""
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (index + 1).cast("int"))
+def _iso(column: str) -> str:
+    """SQL for a timestamp as ISO text in UTC, microseconds kept."""
+    return f"concat(replace(CAST({column} AS STRING), ' ', 'T'), 'Z')"
 
 
 def _text(column: str) -> Column:
@@ -35,30 +35,28 @@ def _text(column: str) -> Column:
 
 def to_ad_events(events: DataFrame) -> DataFrame:
     """Ad events; each user id stands for a campaign, so campaigns grow with the data."""
-    n = F.col("event_id")
-    kind = (
-        F.when(F.col("event_type") == "view", "impression")
-        .when(F.col("event_type") == "purchase", "conversion")
-        .otherwise(F.col("event_type"))
-    )
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("event_timestamp"),
-        F.concat(F.lit("campaign_"), _text("user_id")).alias("campaign_id"),
-        kind.alias("event_type"),
-        _text("user_id").alias("user_id"),
-        F.col("value").alias("spend_usd"),
-        F.when(F.col("event_type") == "purchase", F.col("value") * 10).otherwise(0.0).alias("sales_amount_euro"),
-        _pick(n % 4, "Desktop", "Mobile", "Tablet", None).alias("device_type"),
-        _pick(n % 5, "US", "GB", "DE", "FR", None).alias("country_code"),
-        F.concat(F.lit("Brand#"), (n % 25).cast("string")).alias("product_brand"),
-        _pick(n % 6, "18-24", "25-34", "35-44", "45-54", "55+", None).alias("product_age_group"),
-        (F.get_json_object("props", "$.k").cast("int") % 7).alias("product_category_1"),
+        "CAST(ts AS TIMESTAMP) AS event_timestamp",
+        "concat('campaign_', user_id) AS campaign_id",
+        "CASE event_type WHEN 'view' THEN 'impression' WHEN 'purchase' THEN 'conversion' ELSE event_type END "
+        "AS event_type",
+        "CAST(user_id AS STRING) AS user_id",
+        "value AS spend_usd",
+        "CASE WHEN event_type = 'purchase' THEN value * 10 ELSE 0.0D END AS sales_amount_euro",
+        "CASE event_id % 4 WHEN 0 THEN 'Desktop' WHEN 1 THEN 'Mobile' WHEN 2 THEN 'Tablet' END AS device_type",
+        "CASE event_id % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'GB' WHEN 2 THEN 'DE' WHEN 3 THEN 'FR' END AS country_code",
+        "concat('Brand#', event_id % 25) AS product_brand",
+        "CASE event_id % 6 WHEN 0 THEN '18-24' WHEN 1 THEN '25-34' WHEN 2 THEN '35-44' WHEN 3 THEN '45-54' "
+        "WHEN 4 THEN '55+' END AS product_age_group",
+        "CAST(get_json_object(props, '$.k') AS INT) % 7 AS product_category_1",
     )
 
 
-def ad_events(spark: SparkSession, folder: str) -> DataFrame:
-    return to_ad_events(read_table(spark, folder, "events"))
+def ad_events(spark: SparkSession, folder: str, spread_rows: bool = False) -> DataFrame:
+    """The event table; ``spread_rows`` for costly work on each event."""
+    events = read_table(spark, folder, "events")
+    return to_ad_events(spread(events) if spread_rows else events)
 
 
 def campaign_stats(
@@ -76,7 +74,7 @@ def campaign_stats(
 
 def event_messages(events: DataFrame) -> DataFrame:
     """Ad events as JSON messages."""
-    fields = [F.col("event_timestamp").alias("timestamp")] + [
+    fields = [F.expr(_iso("event_timestamp")).alias("timestamp")] + [
         F.col(c) for c in events.columns if c not in ("event_id", "event_timestamp")
     ]
     return events.select("event_id", F.to_json(F.struct(*fields), JSON_OPTIONS).alias("value"))
@@ -102,27 +100,22 @@ def event_batch_messages(spark: SparkSession, folder: str) -> DataFrame:
 
     ``arrival`` is the unique arrival order.
     """
-    events = read_table(spark, folder, "events").select("*", file_position().alias("_position"))
-    n = F.col("event_id")
-    made = F.transform(
-        F.sequence(F.lit(0), (n % 3).cast("int")),
-        lambda i: F.struct(
-            F.concat_ws("-", n, i).alias("event_id"),
-            F.col("ts").cast("timestamp").alias("timestamp"),
-            F.col("event_type").alias("event_name"),
-            F.create_map(
-                F.lit("user_id"), _text("user_id"), F.lit("k"), F.get_json_object("props", "$.k")
-            ).alias("attributes"),
-        ),
+    positioned = read_table(spark, folder, "events").select("*", file_position().alias("_position"))
+    events = spread(positioned).withColumn("iso", F.expr(_iso("ts")))
+    event = (
+        "named_struct('event_id', concat(event_id, '-{i}'), 'timestamp', iso, 'event_name', event_type, "
+        "'attributes', map('user_id', CAST(user_id AS STRING), 'k', get_json_object(props, '$.k')))"
     )
-    envelope = F.struct(
-        F.concat(F.lit("batch_"), F.floor(n / 2)).alias("batch_id"),
-        F.when(n % 89 != 0, F.concat(F.lit("source_"), n % 5)).alias("source"),
-        made.alias("events"),
+    made = ", ".join(event.format(i=i) for i in range(3))
+    envelope = events.selectExpr(
+        "event_id % 97 = 0 AS broken",
+        "struct(event_id, _position) AS arrival",
+        "named_struct('batch_id', concat('batch_', event_id div 2), "
+        "'source', CASE WHEN event_id % 89 <> 0 THEN concat('source_', event_id % 5) END, "
+        f"'events', slice(array({made}), 1, CAST(event_id % 3 + 1 AS INT))) AS envelope",
     )
-    options = {"timestampFormat": JSON_OPTIONS["timestampFormat"]}
-    value = F.when(n % 97 == 0, F.lit("{broken")).otherwise(F.to_json(envelope, options))
-    return events.select(value.alias("value"), F.struct("event_id", "_position").alias("arrival"))
+    value = F.when(F.col("broken"), F.lit("{broken")).otherwise(F.to_json("envelope"))
+    return envelope.select(value.alias("value"), "arrival")
 
 
 # --- dimension and facts ------------------------------------------------------------------------
@@ -130,56 +123,50 @@ def event_batch_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def campaign_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """One campaign per customer; campaigns without events stay in."""
-    n = F.col("c_custkey")
-    return read_table(spark, folder, "customer").select(
-        F.concat(F.lit("campaign_"), n.cast("string")).alias("campaign_id"),
-        F.col("c_name").alias("campaign_name"),
-        F.concat(F.lit("adv_"), _text("c_nationkey")).alias("advertiser_id"),
-        F.concat(F.lit("Advertiser "), _text("c_nationkey")).alias("advertiser_name"),
-        F.col("c_mktsegment").alias("industry_category"),
-        F.lit("2024-01-01").cast("date").alias("start_date"),
-        F.when(n % 3 == 0, F.lit("2024-01-15").cast("date")).alias("end_date"),
-        F.abs(F.col("c_acctbal")).cast("decimal(15,2)").alias("budget_usd"),
-        F.lit("0.0300").cast("decimal(5,4)").alias("target_ctr"),
-        F.lit("25.00").cast("decimal(10,2)").alias("target_cpa"),
-        (n % 4 != 0).alias("is_active"),
-        _pick(n % 4, "standard", "premium", "test", "pilot").alias("campaign_type"),
-        (n % 10 + 1).cast("int").alias("priority"),
+    return read_table(spark, folder, "customer").selectExpr(
+        "concat('campaign_', c_custkey) AS campaign_id",
+        "c_name AS campaign_name",
+        "concat('adv_', c_nationkey) AS advertiser_id",
+        "concat('Advertiser ', c_nationkey) AS advertiser_name",
+        "c_mktsegment AS industry_category",
+        "DATE '2024-01-01' AS start_date",
+        "CASE WHEN c_custkey % 3 = 0 THEN DATE '2024-01-15' END AS end_date",
+        "CAST(abs(c_acctbal) AS DECIMAL(15,2)) AS budget_usd",
+        "CAST(0.03 AS DECIMAL(5,4)) AS target_ctr",
+        "CAST(25 AS DECIMAL(10,2)) AS target_cpa",
+        "c_custkey % 4 <> 0 AS is_active",
+        "CASE c_custkey % 4 WHEN 0 THEN 'standard' WHEN 1 THEN 'premium' WHEN 2 THEN 'test' ELSE 'pilot' END "
+        "AS campaign_type",
+        "CAST(c_custkey % 10 + 1 AS INT) AS priority",
     )
 
 
 def raw_campaign_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Unchecked metadata, breaking constraints in places."""
-    n = F.col("c_custkey")
-    return read_table(spark, folder, "customer").select(
-        F.concat(F.lit("campaign_"), n.cast("string")).alias("campaign_id"),
-        F.lit("2024-01-10").cast("date").alias("start_date"),
-        F.when(n % 3 == 0, F.date_add(F.lit("2024-01-01").cast("date"), (n % 20).cast("int"))).alias("end_date"),
-        F.col("c_acctbal").cast("decimal(15,2)").alias("budget_usd"),
-        (n % 12).cast("int").alias("priority"),
-        ((n % 13) / F.lit(10.0)).cast("decimal(5,4)").alias("target_ctr"),
-        _pick(n % 5, "standard", "premium", "test", "pilot", "other").alias("campaign_type"),
+    return read_table(spark, folder, "customer").selectExpr(
+        "concat('campaign_', c_custkey) AS campaign_id",
+        "DATE '2024-01-10' AS start_date",
+        "CASE WHEN c_custkey % 3 = 0 THEN date_add(DATE '2024-01-01', CAST(c_custkey % 20 AS INT)) END AS end_date",
+        "CAST(c_acctbal AS DECIMAL(15,2)) AS budget_usd",
+        "CAST(c_custkey % 12 AS INT) AS priority",
+        "CAST(c_custkey % 13 / 10 AS DECIMAL(5,4)) AS target_ctr",
+        "CASE c_custkey % 5 WHEN 0 THEN 'standard' WHEN 1 THEN 'premium' WHEN 2 THEN 'test' WHEN 3 THEN 'pilot' "
+        "ELSE 'other' END AS campaign_type",
     )
 
 
 def processing_runs(spark: SparkSession, folder: str) -> DataFrame:
     """One processing run per order."""
-    n = F.col("o_orderkey")
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "success")
-        .when(F.col("o_orderstatus") == "P", "failed")
-        .when(F.col("o_orderstatus") == "O", "running")
-        .otherwise(F.col("o_orderstatus"))
-    )
-    return read_table(spark, folder, "orders").select(
-        F.date_add(F.col("o_orderdate").cast("date"), RUN_SHIFT_DAYS).cast("timestamp").alias("process_time"),
-        F.col("o_orderpriority").alias("pipeline_name"),
-        n.cast("string").alias("job_id"),
-        status.alias("status"),
-        (F.col("o_totalprice") / 1000).cast("decimal(10,3)").alias("processing_time_sec"),
-        F.col("o_custkey").alias("records_processed"),
-        (n % 600).cast("int").alias("data_freshness_minutes"),
-        (100 - n % 20).cast("decimal(5,2)").alias("quality_score"),
+    return read_table(spark, folder, "orders").selectExpr(
+        f"CAST(date_add(CAST(o_orderdate AS DATE), {RUN_SHIFT_DAYS}) AS TIMESTAMP) AS process_time",
+        "o_orderpriority AS pipeline_name",
+        "CAST(o_orderkey AS STRING) AS job_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'failed' WHEN 'O' THEN 'running' "
+        "ELSE o_orderstatus END AS status",
+        "CAST(o_totalprice / 1000 AS DECIMAL(10,3)) AS processing_time_sec",
+        "o_custkey AS records_processed",
+        "CAST(o_orderkey % 600 AS INT) AS data_freshness_minutes",
+        "CAST(100 - o_orderkey % 20 AS DECIMAL(5,2)) AS quality_score",
     )
 
 
@@ -269,6 +256,6 @@ def click_log_lines(spark: SparkSession, folder: str) -> DataFrame:
         "user_id": missing_if(order % 50 == 0, order),
     }
     fields = [values[name].cast("string") for name in CLICK_LOG_COLUMNS]
-    whole = read_table(spark, folder, "lineitem").select("l_linenumber", F.concat_ws("\t", *fields).alias("value"))
+    whole = spread(read_table(spark, folder, "lineitem")).select("l_linenumber", F.concat_ws("\t", *fields).alias("value"))
     short = F.substring_index("value", "\t", len(fields) - 1)
     return whole.select(F.when(line == 6, short).otherwise(F.col("value")).alias("value"))
