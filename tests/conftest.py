@@ -18,6 +18,7 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength="2000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
