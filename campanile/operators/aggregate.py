@@ -8,6 +8,8 @@ map task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,7 +28,7 @@ def aggregate_events(
     without time, campaign or type cannot be keyed and are left out: quarantine
     them first if they must be reported.  ``dims`` become part of the key.
     """
-    keyed = events.dropna(subset=[time_col, "campaign_id", "event_type"])
+    keyed = events.filter(reduce(and_, [F.col(c).isNotNull() for c in (time_col, "campaign_id", "event_type")]))
     if watermark:
         keyed = keyed.withWatermark(time_col, watermark)
     sums = {"total_bid_amount": "total_bid_amount"}
@@ -52,7 +54,7 @@ def aggregate_events(
 
 def running_totals(events: DataFrame) -> DataFrame:
     """Totals per campaign and type since the beginning; absent bids count as 0."""
-    keyed = events.dropna(subset=["campaign_id", "event_type"])
+    keyed = events.filter(F.col("campaign_id").isNotNull() & F.col("event_type").isNotNull())
     return keyed.groupBy("campaign_id", "event_type").agg(
         F.count("*").alias("event_count"),
         from_micros(F.coalesce(F.sum(micros(F.col("total_bid_amount"))), F.lit(0))).alias("total_bid_amount"),

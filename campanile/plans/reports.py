@@ -144,9 +144,10 @@ def campaign_performance(stats: DataFrame) -> DataFrame:
 
 
 def top_campaigns_by_spend(stats: DataFrame, top: int | None = 15) -> DataFrame:
-    """Campaigns with the highest spend, click rate in percent."""
+    """Campaigns with the highest spend, click rate in percent; all, unsorted, without ``top``."""
     totals = stats.groupBy("campaign_id").agg(*_counts(), _total("spend_usd").alias("spend_usd"))
-    return _top(totals, "spend_usd", "campaign_id", top).select(
+    chosen = totals if top is None else _top(totals, "spend_usd", "campaign_id", top)
+    return chosen.select(
         "campaign_id", "impressions", "clicks", "conversions", *_double("spend_usd"),
         safe_div(CLICKS, IMPRESSIONS, 100).alias("ctr"),
     )

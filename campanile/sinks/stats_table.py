@@ -71,20 +71,35 @@ def latest_stats(versions: DataFrame, keys: Sequence[str] = STATS_KEYS) -> DataF
     return versions.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
 
 
-def compact_stats(spark: SparkSession, path: str, schema, out_path: str, keys: Sequence[str] = STATS_KEYS) -> None:
-    """Rewrite the current values, one version per key, for batch reports.
+def compact_stats(spark: SparkSession, path: str, schema, out_path: str, keys: Sequence[str] = STATS_KEYS) -> int:
+    """Rewrite the current values, one version per key; the newest batch id in them.
 
-    Partitioned by day, clustered by campaign, so time ranges prune folders and
-    campaign filters prune row groups.  Rows of a day are spread over several
-    tasks by campaign, so a large day is not written by one task.
+    Partitioned by day and sorted by campaign, so time ranges prune folders and
+    campaign filters prune row groups.  Rebalancing splits large days over
+    several files and gathers small ones.
     """
-    current = latest_stats(read_versions(spark, path, schema), keys)
-    dated = current.withColumn("stats_date", F.to_date("window_start_time"))
+    versions = read_versions(spark, path, schema)
+    through = versions.agg(F.max("batch_id")).first()[0]
+    settled = versions.filter(F.col("batch_id") <= F.lit(-1 if through is None else through))
+    dated = latest_stats(settled, keys).withColumn("stats_date", F.to_date("window_start_time"))
     (
-        dated.repartition("stats_date", "campaign_id")
+        dated.hint("rebalance", "stats_date")
         .sortWithinPartitions("stats_date", "campaign_id", "window_start_time")
         .write.mode("overwrite").partitionBy("stats_date").parquet(out_path)
     )
+    return -1 if through is None else through
+
+
+def current_stats(
+    spark: SparkSession, path: str, schema, compacted: str, through: int, keys: Sequence[str] = STATS_KEYS,
+) -> DataFrame:
+    """Current values from a compacted table and the batches written after it.
+
+    Only folders of batches newer than ``through`` are read.
+    """
+    newer = read_versions(spark, path, schema).filter(F.col("batch_id") > through)
+    base = spark.read.parquet(compacted).withColumn("batch_id", F.lit(through).cast("bigint"))
+    return latest_stats(base.select(*newer.columns).unionByName(newer), keys)
 
 
 def purge_expired(spark: SparkSession, path: str, as_of: str, days: int = RETENTION_DAYS) -> int:

@@ -94,7 +94,7 @@ def test_failed_write_is_tried_again_and_raised(spark, folder):
 def test_compaction_and_purge(spark, folder):
     path, out = f"{folder}/stats", f"{folder}/compact"
     stats_table.upsert_stats(windows(spark, *LIMIT_ROWS), 0, path)
-    stats_table.compact_stats(spark, path, schemas.STATS, out)
+    assert stats_table.compact_stats(spark, path, schemas.STATS, out) == 0
     assert spark.read.parquet(out).count() == 4
     assert stats_table.purge_expired(spark, out, AS_OF) == 2
     assert table(spark.read.parquet(out), "campaign_id") == [("c1",), ("c2",)]
@@ -104,6 +104,16 @@ def test_compaction_and_purge(spark, folder):
     assert stats_table.purge_expired(spark, out, AS_OF) == 0
 
 
+def test_batches_after_a_compaction(spark, folder):
+    path, out = f"{folder}/stats", f"{folder}/compact"
+    stats_table.upsert_stats(stored(spark, stats_row("a", "click", 2, 1), stats_row("b", "click", 1, 1)), 0, path)
+    through = stats_table.compact_stats(spark, path, schemas.STATS, out)
+    stats_table.upsert_stats(stored(spark, stats_row("a", "click", 3, 2), stats_row("c", "click", 1, 1)), 1, path)
+    both = stats_table.current_stats(spark, path, schemas.STATS, out, through)
+    assert table(both, "campaign_id", "event_count") == [("a", 3), ("b", 1), ("c", 1)]
+    assert table(both) == table(read(spark, path).select(*both.columns))
+
+
 def test_purge_of_a_whole_limit_day(spark, folder):
     out = f"{folder}/compact"
     dated = windows(spark, "2024-01-01 11:00:00", "2024-01-02 00:00:00").withColumn("stats_date", F.to_date("window_start_time"))
