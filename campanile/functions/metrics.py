@@ -13,18 +13,24 @@ from pyspark.sql import Column, functions as F
 MICROS = 1_000_000
 
 
-def micros(amount: Column) -> Column:
+def micros(amount: str) -> Column:
     """A money amount as whole micro-units, rounded as a cast to ``DECIMAL(18, 6)``.
 
     Scaling in double precision is exact enough unless the amount is large or
     close to a tie; those few go through the decimal.  NaN and amounts beyond the
     money type raise (ANSI) instead of vanishing from a sum.
     """
-    scaled = amount * F.lit(float(MICROS))
-    nearest = F.rint(scaled)
-    doubtful = (F.abs(amount) >= 1e8) | (F.abs(scaled - nearest) >= 0.48)
-    exact = (amount.cast("decimal(18,6)") * F.lit(MICROS)).cast("bigint")
-    return F.when((F.abs(amount) < 1e12) & doubtful, exact).otherwise(nearest.cast("bigint"))
+    scaled = f"{amount} * {MICROS}.0D"
+    return F.expr(
+        f"CASE WHEN abs({amount}) < 1e12D AND (abs({amount}) >= 1e8D OR abs({scaled} - rint({scaled})) >= 0.48D) "
+        f"THEN CAST(CAST({amount} AS DECIMAL(18,6)) * {MICROS} AS BIGINT) "
+        f"ELSE CAST(rint({scaled}) AS BIGINT) END"
+    )
+
+
+def sum_money(amount: str) -> Column:
+    """Exact sum of event amounts in micro-units, 0 when there is none."""
+    return F.coalesce(F.sum(micros(amount)), F.lit(0))
 
 
 def from_micros(total: Column) -> Column:
@@ -44,6 +50,12 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
 
 def safe_div(numerator: Column | str, denominator: Column | str, scale: float = 1.0) -> Column:
     """``numerator / denominator * scale``, 0 unless the denominator is positive."""
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        times = f" * {float(scale)}D" if scale != 1 else ""
+        return F.expr(
+            f"CASE WHEN {denominator} > 0 "
+            f"THEN CAST({numerator} AS DOUBLE) / CAST({denominator} AS DOUBLE){times} ELSE 0.0D END"
+        )
     numerator, denominator = _col(numerator), _col(denominator)
     quotient = numerator.cast("double") / denominator.cast("double")
     if scale != 1:

@@ -13,7 +13,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from campanile.functions import from_micros, micros, pivot_count, ratio
+from campanile.functions import from_micros, pivot_count, ratio, sum_money
 
 NO_DATA_SECONDS = 9999
 
@@ -38,7 +38,7 @@ def aggregate_events(
         keyed.groupBy(F.window(time_col, window).alias("w"), "campaign_id", "event_type", *dims)
         .agg(
             F.count("*").alias("event_count"),
-            *[F.sum(micros(F.col(c))).alias(name) for c, name in sums.items()],
+            *[sum_money(c).alias(name) for c, name in sums.items()],
         )
     )
     return totals.select(
@@ -48,7 +48,7 @@ def aggregate_events(
         F.col("w.end").alias("window_end_time"),
         *dims,
         "event_count",
-        *[from_micros(F.coalesce(F.col(name), F.lit(0))).alias(name) for name in sums.values()],
+        *[from_micros(F.col(name)).alias(name) for name in sums.values()],
     )
 
 
@@ -57,7 +57,7 @@ def running_totals(events: DataFrame) -> DataFrame:
     keyed = events.filter(F.col("campaign_id").isNotNull() & F.col("event_type").isNotNull())
     return keyed.groupBy("campaign_id", "event_type").agg(
         F.count("*").alias("event_count"),
-        from_micros(F.coalesce(F.sum(micros(F.col("total_bid_amount"))), F.lit(0))).alias("total_bid_amount"),
+        from_micros(sum_money("total_bid_amount")).alias("total_bid_amount"),
     )
 
 

@@ -31,6 +31,10 @@ def with_record_key(df: DataFrame, *fields: str) -> DataFrame:
     return usable.withColumn("record_key", F.concat_ws(KEY_SEPARATOR, *trimmed))
 
 
+def _whole(keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
 def first_positions(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(order).alias(order))
 
@@ -41,19 +45,20 @@ def flag_repeats(
     """Mark every row that is not the first of its key.
 
     ``order`` must be unique within a key.  With ``among``, only rows meeting
-    the condition compete; the others are never marked.
+    the condition compete; the others are never marked.  Nor are rows with a
+    NULL in the key: as in a uniqueness constraint, NULL equals nothing.
     """
     competing = df if among is None else df.filter(among)
     firsts = first_positions(competing, keys, order).withColumn("_first", F.lit(True))
-    repeat = F.col("_first").isNull()
+    repeat = F.col("_first").isNull() & _whole(keys)
     if among is not None:
         repeat = among & repeat
     return df.join(firsts, [*keys, order], "left").withColumn(flag, repeat).drop("_first")
 
 
 def repeated_records(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Second and later rows of each key."""
-    return df.join(first_positions(df, keys, order), [*keys, order], "left_anti")
+    """Second and later rows of each key; rows with a NULL in the key have none."""
+    return df.filter(_whole(keys)).join(first_positions(df, keys, order), [*keys, order], "left_anti")
 
 
 def first_records(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

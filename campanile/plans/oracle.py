@@ -651,3 +651,7 @@ _SQL["stream_arrival_totals"] = _SQL["running_totals"]
 add("stream_repeats", """
 SELECT campaign_id || ':' || event_type AS record_key, count(*) - 1 AS repeats FROM ad_events
 GROUP BY 1 HAVING count(*) > 1""", EVENTS)
+add("stream_stats_over_triggers", PLAIN, EVENTS, stats_cte("day", ""))
+add("event_file_stats", PLAIN, EVENTS, stats_cte("hour", ""))
+add("stored_stats_after_compaction", PLAIN, EVENTS, stats_cte("hour", ""))
+_SQL["purged_stats"] = _SQL["retained_stats"]

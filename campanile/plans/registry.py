@@ -646,6 +646,47 @@ def operational_log(spark, folder):
     )
 
 
+@query()
+def event_file_stats(spark, folder):
+    """Events sent as JSON lines to a folder, read back and aggregated."""
+    place = session.scratch_dir(spark, "events")
+    sent = derived.event_messages(derived.ad_events(spark, folder, spread_rows=True))
+    messages.write_messages(sent, "text", place)
+    events = ingest.enrich_events(event_sources.read_events_json(spark, place))
+    stats = aggregate.aggregate_events(events, "1 hour", time_col="timestamp")
+    return _doubles(stats, "total_bid_amount")
+
+
+def _stored_stats(spark, folder, name):
+    """The hourly statistics as two batches; the second replaces one running hour.
+
+    Returns the place of the table, and of its compaction after the first batch.
+    """
+    place = session.scratch_dir(spark, name)
+    events = derived.ad_events(spark, folder).withColumn("total_bid_amount", F.col("spend_usd"))
+    early = aggregate.aggregate_events(events.filter("event_timestamp < TIMESTAMP '2024-01-15 12:30:00'"), "1 hour")
+    late = aggregate.aggregate_events(events.filter("event_timestamp >= TIMESTAMP '2024-01-15 12:00:00'"), "1 hour")
+    stats_table.upsert_stats(early, 0, f"{place}/table")
+    through = stats_table.compact_stats(spark, f"{place}/table", early.schema, f"{place}/compacted")
+    stats_table.upsert_stats(late, 1, f"{place}/table")
+    return place, early.schema, through
+
+
+@query()
+def stored_stats_after_compaction(spark, folder):
+    place, schema, through = _stored_stats(spark, folder, "compacted")
+    current = stats_table.current_stats(spark, f"{place}/table", schema, f"{place}/compacted", through)
+    return _doubles(current, "total_bid_amount").drop("updated_at")
+
+
+@query()
+def purged_stats(spark, folder):
+    place, schema, _ = _stored_stats(spark, folder, "purged")
+    stats_table.compact_stats(spark, f"{place}/table", schema, f"{place}/final")
+    stats_table.purge_expired(spark, f"{place}/final", "2024-04-15 12:00:00")
+    return views.stats_records(spark.read.parquet(f"{place}/final"))
+
+
 # --- streaming ----------------------------------------------------------------------------------
 
 
@@ -696,3 +737,18 @@ def stream_repeats(spark, folder):
     versions = _drain(repeats.key_counts(events), spark, "repeats", date_col=None)
     found = repeats.repeats_by_batch(versions)
     return found.groupBy("record_key").agg(F.sum("repeats").alias("repeats"))
+
+
+@query()
+def stream_stats_over_triggers(spark, folder):
+    """Message files drained one by one; windows are touched by several triggers.
+
+    Files are in no time order, so the watermark spans the whole range.
+    """
+    place = session.scratch_dir(spark, "messages")
+    sent = derived.event_messages(derived.ad_events(spark, folder)).repartition(4)
+    messages.write_messages(sent, "text", place)
+    raw = event_sources.read_event_stream(spark, "text", {"maxFilesPerTrigger": "1"}, place)
+    stats = stats_job.event_stats(raw, "1 day", watermark="60 days")
+    current = stats_table.latest_stats(_drain(stats, spark, "triggers"))
+    return _doubles(current, "total_bid_amount").drop("updated_at")

@@ -31,7 +31,7 @@ def _counts() -> list[Column]:
 
 def _total(column: str) -> Column:
     """Exact sum, 0 when nothing is there to sum."""
-    return F.coalesce(F.sum(column).cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)"))
+    return F.expr(f"coalesce(CAST(sum({column}) AS DECIMAL(38,6)), CAST(0 AS DECIMAL(38,6)))")
 
 
 def _double(*columns: str) -> list[Column]:

@@ -24,20 +24,18 @@ BACKOFF_SECONDS = 2.0
 
 def upsert_stats(
     batch: DataFrame, batch_id: int, path: str, date_col: str | None = "window_start_time",
-    attempts: int = MAX_ATTEMPTS, backoff: float = BACKOFF_SECONDS, files: int | None = None,
+    attempts: int = MAX_ATTEMPTS, backoff: float = BACKOFF_SECONDS,
 ) -> None:
     """Write one micro-batch from the executors; the last failure is raised.
 
     Raising leaves the batch unfinished in the checkpoint, so it is run again
-    on restart instead of being lost.  ``files`` gathers the output of many
-    state partitions into that many tasks.
+    on restart instead of being lost.  Rebalancing gathers the output of many
+    state partitions into few files, and splits what is large.
     """
     stamped = batch.withColumn("updated_at", F.current_timestamp())
-    if files:
-        stamped = stamped.repartition(files)
     if date_col:
         stamped = stamped.withColumn("stats_date", F.to_date(date_col))
-    writer = stamped.write.mode("overwrite")
+    writer = stamped.hint("rebalance", *(["stats_date"] if date_col else [])).write.mode("overwrite")
     if date_col:
         writer = writer.partitionBy("stats_date")
     for attempt in range(1, attempts + 1):
@@ -56,7 +54,7 @@ def stats_writer(path: str, **options) -> Callable[[DataFrame, int], None]:
 
 
 def read_versions(spark: SparkSession, path: str, schema) -> DataFrame:
-    """All written versions, with their batch id; empty before the first batch."""
+    """All written versions, with their batch id."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     return spark.read.schema(f"{columns}, updated_at timestamp, batch_id bigint, stats_date date").parquet(path)
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from campanile.functions import from_micros, micros
+from campanile.functions import from_micros, sum_money
 from campanile.operators.aggregate import aggregate_events
 from campanile.operators.dedupe import file_position
 from campanile.schemas import CLICK_LOG_COLUMNS
@@ -209,7 +209,7 @@ def hourly_performance(spark: SparkSession, folder: str, start: str | None = Non
         F.sum((F.col("l_quantity") * 100).cast("bigint")).alias("impressions"),
         F.sum(F.col("l_partkey") % 97).alias("clicks"),
         F.count_if(F.col("l_returnflag") == "R").alias("conversions"),
-        from_micros(F.sum(micros(F.col("l_extendedprice")))).alias("spend_usd"),
+        from_micros(sum_money("l_extendedprice")).alias("spend_usd"),
     )
 
 

@@ -94,6 +94,13 @@ def test_blank_or_missing_keys_are_skipped(spark):
     assert records(spark, ("", "A"), (None, "A"), ("1", "  "), ("1", None)).count() == 0
 
 
+def test_null_keys_repeat_nothing(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "k"), (4, "k")], "seq int, key string")
+    assert rows(dedupe.repeated_records(df, ["key"], "seq"), "seq") == [(4,)]
+    assert table(dedupe.flag_repeats(df, ["key"], "seq"), "seq", "is_repeat") == [
+        (1, False), (2, False), (3, False), (4, True)]
+
+
 def test_first_record_is_whole(spark):
     df = spark.createDataFrame([(2, "k", "late"), (1, "k", "early")], "seq int, key string, v string")
     assert rows(dedupe.first_records(df, ["key"], "seq"), "key", "v", "seq") == [("k", "early", 1)]

@@ -29,7 +29,7 @@ def test_micros_equal_the_decimal_cast(spark):
     values = [0.1, 1234567.891234, -2.5, 0.0000005, -0.0000005, 1.0000005, 2.0000015, 9_000_000_000.123456, 99999999.1234567,
               999_999_999_999.25, 0.0, None, 2.3000000000000003, 100000000.0000005]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for got, expected in rows(df, from_micros(micros(F.col("v"))), F.col("v").cast("decimal(18,6)")):
+    for got, expected in rows(df, from_micros(micros("v")), F.col("v").cast("decimal(18,6)")):
         assert got == expected
 
 
@@ -37,7 +37,7 @@ def test_micros_equal_the_decimal_cast(spark):
 def test_micros_of_unfit_amounts_raise(spark, value):
     df = spark.createDataFrame([(value,)], "v double")
     with pytest.raises(Exception, match="CAST|NUMERIC"):
-        df.select(from_micros(F.sum(micros(F.col("v"))))).collect()
+        df.select(from_micros(F.sum(micros("v")))).collect()
 
 
 def test_tiers_and_display(spark):
