@@ -63,6 +63,22 @@ def safe_div(numerator: Column | str, denominator: Column | str, scale: float =
     return F.when(denominator > 0, quotient).otherwise(F.lit(0.0))
 
 
+def rounded_ratio(numerator: Column, denominator: Column, places: int) -> Column:
+    """Quotient rounded half away from zero, in whole numbers.
+
+    A double may lie on the wrong side of a tie.  Arguments are counts, or both
+    money with at most six places.  NULL unless the denominator is positive.
+    """
+    def whole(value: Column) -> Column:
+        return (value.cast("decimal(38,6)") * F.lit(MICROS)).cast("decimal(38,0)")
+
+    n, d, unit = whole(numerator), whole(denominator), 10 ** places
+    half = F.sign(n).cast("int") * d
+    scaled = (n * F.lit(2 * unit) + half).cast("decimal(38,0)")
+    quotient = F.call_function("div", scaled, (d * F.lit(2)).cast("decimal(38,0)"))
+    return F.when(d > 0, quotient.cast("double") / F.lit(float(unit)))
+
+
 def count_where(condition: Column) -> Column:
     """Number of rows meeting the condition, 0 on empty input."""
     return F.count_if(condition)
@@ -92,7 +108,7 @@ def performance_score(ctr: Column, conversion_rate: Column, spend: Column, conve
 
 def in_thousands(amount: Column) -> Column:
     """Amount shown in thousands with two places."""
-    return F.round(amount.cast("decimal(38,6)") / F.lit(1000), 2).cast("double")
+    return rounded_ratio(amount, F.lit(1000), 2)
 
 
 def in_percent(fraction: Column) -> Column:

@@ -478,8 +478,9 @@ hourly AS (
 
 def top_per_country(name: str, start: str, end: str) -> None:
     def rate(n: str, d: str, places: int) -> str:
-        return (f"CAST(round(CAST(CASE WHEN {d} = 0 THEN 0.0 ELSE CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) END"
-                f" AS DECIMAL(38,12)), {places}) AS DOUBLE)")
+        """Quotient of whole numbers, rounded half up in whole numbers: a double would miss ties."""
+        n, unit = f"CAST({n} AS HUGEINT)", 10 ** places
+        return f"CASE WHEN {d} = 0 THEN 0.0 ELSE CAST((2 * {n} * {unit} + {d}) // (2 * {d}) AS DOUBLE) / {unit} END"
 
     add(name, f"""
 SELECT country_code, campaign_id, CAST(rank_in_country AS INTEGER) AS rank_in_country,
@@ -509,7 +510,7 @@ totals AS (
 rated AS (
   SELECT *, {rate('total_clicks', 'total_impressions', 6)} AS ctr,
     {rate('total_conversions', 'total_clicks', 6)} AS conversion_rate,
-    {rate('total_spend_usd', 'total_conversions', 2)} AS cost_per_conversion
+    {rate('(total_spend_usd * 1000000)', '(total_conversions * 1000000)', 2)} AS cost_per_conversion
   FROM totals
 ),
 ranked AS (
@@ -529,7 +530,9 @@ runs AS (
   SELECT CAST(CAST(o_orderdate AS DATE) + 8217 AS TIMESTAMP) AS process_time,
     CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'failed' WHEN 'O' THEN 'running' ELSE o_orderstatus END
       AS status,
-    CAST(o_totalprice / 1000 AS DECIMAL(10,3)) AS processing_time_sec,
+    -- Half up in whole cents: a double would miss ties.
+    CAST((CAST(round(o_totalprice * 100) AS BIGINT) + 50) // 100 AS DECIMAL(13,0)) * CAST(0.001 AS DECIMAL(4,3))
+      AS processing_time_sec,
     CAST(o_orderkey % 600 AS INTEGER) AS data_freshness_minutes,
     CAST(100 - o_orderkey % 20 AS DECIMAL(5,2)) AS quality_score
   FROM orders

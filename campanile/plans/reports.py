@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from campanile.functions import (
-    in_percent, in_thousands, pivot_count, pivot_count_or_null, quadrant, ratio, safe_div,
+    in_percent, in_thousands, pivot_count, pivot_count_or_null, quadrant, ratio, rounded_ratio, safe_div,
 )
 from campanile.operators.lookup import newer_than
 
@@ -135,7 +135,7 @@ def campaign_performance(stats: DataFrame) -> DataFrame:
     A campaign with impressions but no click row has a NULL rate.
     """
     clicks, impressions = pivot_count_or_null("click"), pivot_count_or_null("impression")
-    rate = F.round((ratio(clicks, impressions) * F.lit(100.0)).cast("decimal(28,10)"), 2).cast("double")
+    rate = rounded_ratio(clicks * F.lit(100), impressions, 2)
     return stats.groupBy("campaign_id").agg(
         *_counts(),
         _total("total_bid_amount").cast("double").alias("spend_usd"),

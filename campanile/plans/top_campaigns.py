@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from campanile.functions import ctr_tier, performance_score, ratio
+from campanile.functions import ctr_tier, performance_score, rounded_ratio
 from campanile.operators.lookup import in_window
 
 UNKNOWN_COUNTRY = "UNKNOWN"
@@ -13,12 +13,8 @@ TOP_PER_COUNTRY = 3
 
 
 def _rate(numerator: str, denominator: str, places: int) -> Column:
-    """Quotient with a fixed number of places, 0 for a zero denominator.
-
-    Divided in double precision: counts of any size fit.
-    """
-    quotient = F.coalesce(ratio(F.col(numerator), F.col(denominator)), F.lit(0.0))
-    return F.round(quotient.cast("decimal(38,12)"), places).cast("double")
+    """Quotient with a fixed number of places, 0 for a zero denominator."""
+    return F.coalesce(rounded_ratio(F.col(numerator), F.col(denominator), places), F.lit(0.0))
 
 
 def _percent(fraction: str) -> Column:

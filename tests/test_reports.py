@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from campanile import schemas
-from campanile.functions import ctr_tier, from_micros, in_percent, in_thousands, micros, performance_score, safe_div
+from campanile.functions import ctr_tier, from_micros, in_percent, in_thousands, micros, performance_score, rounded_ratio, safe_div
 from campanile.plans import health, reports
 from campanile.plans.top_campaigns import top_campaigns
 from tests.helpers import at, rows, stats_frame, stats_row, table
@@ -40,6 +40,15 @@ def test_micros_of_unfit_amounts_raise(spark, value):
         df.select(from_micros(F.sum(micros("v")))).collect()
 
 
+def test_rounded_ratio_is_exact_at_ties(spark):
+    cases = [("985777.95", 6, 164296.33), ("1096370.17", 2, 548185.09), ("1004999.6", 1000000, 1.0), ("-0.005", 1, -0.01),
+             ("1", 3, 0.33), ("2", 3, 0.67), ("0", 5, 0.0), ("1", 0, None), (None, 1, None), ("1e15", 7, 142857142857142.86)]
+    df = spark.createDataFrame([(n and Decimal(n), d, e) for n, d, e in cases], "n decimal(28,6), d bigint, e double")
+    got = rows(df.select(rounded_ratio(F.col("n"), F.col("d"), 2), "e"))
+    assert [g for g, _ in got] == [e for _, e in got]
+    assert one(spark, in_thousands(F.lit(1004.9996)), in_thousands(F.lit(1005.0))) == (1.0, 1.01)
+
+
 def test_tiers_and_display(spark):
     assert one(spark, *[ctr_tier(F.lit(v)) for v in (0.05, 0.0499, 0.03, 0.015, 0.0149, 0.0)]) == (
         "Excellent", "Good", "Good", "Average", "Below Average", "Below Average")
