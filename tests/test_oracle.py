@@ -7,10 +7,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from campanile.plans import oracle, registry
 from tests.oracle_check import difference, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.all_queries(), oracle.all_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -22,6 +23,7 @@ def con():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

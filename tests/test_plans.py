@@ -7,9 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from campanile.operators import aggregate, dedupe, ingest, lookup, quality
-from campanile.plans import reports
+from campanile.plans import registry, reports
 from campanile.plans.top_campaigns import top_campaigns
 from campanile.sources import derived
 from tests.helpers import plan
@@ -19,12 +18,12 @@ FOLDER = "/root/testdata/sf0.001"
 EAGER = {"stored_summary", "operational_log", "stream_minute_stats", "stream_stats_with_rejects",
          "stream_arrival_totals", "stream_repeats", "stream_stats_over_triggers", "event_file_stats",
          "stored_stats_after_compaction", "purged_stats"}
-LAZY = sorted(set(entry.queries()) - EAGER)
+LAZY = sorted(set(registry.all_queries()) - EAGER)
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_python_or_single_task_window(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
+    text = plan(registry.all_queries()[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert operator not in text
     # A window without partitioning gathers all rows in one task, below a single-partition exchange.
@@ -39,7 +38,7 @@ def test_no_forced_broadcast(spark):
     spark.conf.set(key, "-1")
     try:
         for name in LAZY:
-            assert "BroadcastExchange" not in plan(entry.queries()[name](spark, FOLDER)), name
+            assert "BroadcastExchange" not in plan(registry.all_queries()[name](spark, FOLDER)), name
     finally:
         spark.conf.set(key, before)
 
@@ -68,7 +67,7 @@ def test_reports_read_only_their_columns(spark, folder):
 
 
 def test_order_range_reaches_the_scan(spark):
-    text = plan(entry.queries()["top_campaigns_by_country"](spark, FOLDER))
+    text = plan(registry.all_queries()["top_campaigns_by_country"](spark, FOLDER))
     assert "GreaterThanOrEqual(o_orderdate,1995-07-01" in text and "LessThan(o_orderdate,1995-08-01" in text
 
 
@@ -80,7 +79,7 @@ def test_top_per_country_is_cut_before_the_shuffle(spark):
 
 def test_top_k_does_not_sort_everything(spark):
     for name in ("top_campaigns_by_spend", "campaign_efficiency", "revenue_by_brand", "top_stats_rows"):
-        assert "TakeOrderedAndProject" in plan(entry.queries()[name](spark, FOLDER))
+        assert "TakeOrderedAndProject" in plan(registry.all_queries()[name](spark, FOLDER))
 
 
 def test_window_aggregation_is_a_partial_hash_aggregation(spark):
