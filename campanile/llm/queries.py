@@ -5,20 +5,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from campanile.llm import jaccard_join
+from campanile.llm import jaccard_join, langid, toxicity
+from campanile.llm.sample import crc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = F.pmod(crc(), F.lit(3)) == 1
+    model = langid.fit(docs.filter(~held_out))
+    return langid.predict(docs.withColumn("held_out", held_out), model, "doc_id", "held_out")
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
+    """Fitted on the labels outside the held-out fold."""
+    known = labels.select("doc_id", "toxic").filter("toxic IN (0, 1)").filter(F.pmod(crc(), F.lit(5)) != 0)
+    return toxicity.fit(docs.select("doc_id", "text").join(known, "doc_id"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = toxicity_model(docs, _table(spark, folder, "labels"))
+    held_out = docs.withColumn("held_out", F.pmod(crc(), F.lit(5)) == 0)
+    return toxicity.score(held_out, model, "doc_id", "held_out").drop("passages")
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op1_language_id, op7_toxicity, op10_ngram_jaccard_join)}
 
 
 def all_sql() -> dict[str, str]:
