@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import jaccard_join, langid, toxicity
+from campanile.llm import bpe, jaccard_join, langid, toxicity
 from campanile.llm.sample import crc
 
 
@@ -22,6 +22,16 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.withColumn("held_out", held_out), model, "doc_id", "held_out")
 
 
+def op4_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bpe.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN, "doc_id")
+    decoded = bpe.decode(encoded, ranks, "doc_id", "ids")
+    return decoded.select("doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
     """Fitted on the labels outside the held-out fold."""
     known = labels.select("doc_id", "toxic").filter("toxic IN (0, 1)").filter(F.pmod(crc(), F.lit(5)) != 0)
@@ -40,7 +50,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op7_toxicity, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_language_id, op4_byte_level_bpe, op7_toxicity, op10_ngram_jaccard_join)}
 
 
 def all_sql() -> dict[str, str]:
