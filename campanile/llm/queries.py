@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import bpe, jaccard_join, langid, toxicity
+from campanile.llm import bpe, jaccard_join, langid, mixing, top_k, toxicity
 from campanile.llm.sample import crc
 
 
@@ -32,6 +32,11 @@ def op4_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return top_k.top_k(vectors, vectors.filter("vec_id % 100 = 0"), 10)
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
     """Fitted on the labels outside the held-out fold."""
     known = labels.select("doc_id", "toxic").filter("toxic IN (0, 1)").filter(F.pmod(crc(), F.lit(5)) != 0)
@@ -45,12 +50,17 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(held_out, model, "doc_id", "held_out").drop("passages")
 
 
+def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op4_byte_level_bpe, op7_toxicity, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_language_id, op4_byte_level_bpe, op6_exact_top_k, op7_toxicity,
+                                    op9_mix_sources, op10_ngram_jaccard_join)}
 
 
 def all_sql() -> dict[str, str]:
