@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import bpe, jaccard_join, langid, mixing, top_k, toxicity
-from campanile.llm.sample import crc
+from campanile.llm import bpe, jaccard_join, langid, mixing, quality_rules, top_k, toxicity
+from campanile.llm.sample import bounded, crc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.withColumn("held_out", held_out), model, "doc_id", "held_out")
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, folder, "documents"))
+
+
 def op4_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -59,9 +63,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op4_byte_level_bpe, op6_exact_top_k, op7_toxicity,
-                                    op9_mix_sources, op10_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op4_byte_level_bpe, op6_exact_top_k,
+                                    op7_toxicity, op9_mix_sources, op10_ngram_jaccard_join)}
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op2_quality_rules": quality_rules.SQL}
