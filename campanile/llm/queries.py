@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import bpe, jaccard_join, langid, mixing, quality_rules, top_k, toxicity
+from campanile.llm import bpe, html_text, jaccard_join, langid, mixing, quality_rules, top_k, toxicity
 from campanile.llm.sample import bounded, crc
 
 
@@ -54,6 +54,11 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(held_out, model, "doc_id", "held_out").drop("passages")
 
 
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return html_text.extract(pages, html_text.fit(pages), "page_id", "url")
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
@@ -64,7 +69,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op4_byte_level_bpe, op6_exact_top_k,
-                                    op7_toxicity, op9_mix_sources, op10_ngram_jaccard_join)}
+                                    op7_toxicity, op8_html_extraction, op9_mix_sources, op10_ngram_jaccard_join)}
 
 
 def all_sql() -> dict[str, str]:
