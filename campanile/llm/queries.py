@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import bpe, html_text, jaccard_join, langid, mixing, quality_rules, top_k, toxicity
+from campanile.llm import bpe, html_text, jaccard_join, langid, maxent_lm, mixing, quality_rules, top_k, toxicity
 from campanile.llm.sample import bounded, crc
 
 
@@ -26,6 +26,15 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(_table(spark, folder, "documents"))
 
 
+def op3_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", (F.pmod(crc(), F.lit(10)) == 0).alias("held_out"))
+    training = docs.filter(~F.coalesce("held_out", F.lit(False)))
+    counts = maxent_lm.token_counts(training)
+    words = maxent_lm.vocabulary(counts)
+    weights = maxent_lm.train(training, words)
+    return maxent_lm.score(docs, counts, words, weights, "doc_id", "held_out")
+
+
 def op4_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,7 +77,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op4_byte_level_bpe, op6_exact_top_k,
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_maxent_lm, op4_byte_level_bpe, op6_exact_top_k,
                                     op7_toxicity, op8_html_extraction, op9_mix_sources, op10_ngram_jaccard_join)}
 
 
