@@ -125,19 +125,19 @@ def schedule(placed: DataFrame, sources: DataFrame) -> DataFrame:
     return parts.join(_slots(sources), ["place", "turn"], "left").drop("turn")
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every row of ``docs(doc_id, text, source)``.
+def mix(docs: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` and ``keep`` columns for every row of ``docs(doc_id, text, source)``.
 
     Every source gives its target to the word (rounded down), no document more than ``MAX_REPEATS`` times its size.
     Null and empty texts have size 0 and take nothing; a null source is a source; rows with a null or
     repeated doc_id count like any other; equal ones are interchangeable.  An empty table gives an empty
     result.  Runs agree: the order is a hash of the rows.
     """
-    placed, sources = sized(docs)
+    placed, sources = sized(docs, *keep)
     placed = stored(placed, "placed")
-    keys = ["doc_id", "place", "start", "size", "source_size", "target"]
+    keys = ["doc_id", "place", "start", "size", "source_size", "target", *keep]
     taken = schedule(placed, sources).groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("part_words"))), F.lit(0)).cast("bigint").alias("taken"))
     empty = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("bigint"))
-    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    columns = ["doc_id", "size", "source_size", "target", "taken", *keep]
     return taken.select(*columns).unionByName(empty.select(*columns))

@@ -22,6 +22,7 @@ WINDOW = 8
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
 def _lines(text: Column) -> Column:
@@ -85,29 +86,40 @@ def frequent_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataF
     return counted.filter(F.col("n") > max_documents).select("host", "line")
 
 
-def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: int = MIN_LEFT) -> DataFrame:
-    """``doc_id``, the base features, ``removed_words`` and ``kept`` for every row of ``docs(doc_id, text, source)``.
-
-    A null or empty text has no words and fails the base rules; a null source is a host of its own; rows with a
-    null doc_id count as one document of their host, repeated rows as one; each row of the input, repeated or
-    not, has a row in the result.  Other columns are ignored.  An empty table gives an empty result.
-    """
+def _verdicts(docs: DataFrame, max_documents: int, min_left: int) -> DataFrame:
+    """One row for all equal rows of ``docs``, known by ``doc_id, source, print``; ``copies`` says how many they are."""
     docs = docs.select("doc_id", F.col("source").cast("string").alias("source"), "text")
-    rows = base_features(docs, "doc_id", "source")
-    features = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    rows = rows.withColumn("print", F.xxhash64("text"))
+    rows = base_features(docs, "doc_id", "source").withColumn("print", F.xxhash64("text"))
     lines = F.transform(_lines(F.col("text")), lambda line: F.struct(
         F.xxhash64(_normal(line)).alias("line"), F.regexp_count(line, F.lit(WORD)).alias("words")))
-    rows = rows.select("doc_id", "source", "print", *features, F.posexplode_outer(lines).alias("at", "part"))
+    rows = rows.select("doc_id", "source", "print", *FEATURES, F.posexplode_outer(lines).alias("at", "part"))
     frequent = frequent_lines(docs, max_documents).withColumn("frequent", F.lit(True))
     met = rows.join(frequent, rows["source"].eqNullSafe(frequent["host"]) & (F.col("part.line") == frequent["line"]), "left")
-    # Rows that are equal in all columns meet in one group; ``copies`` says how many they are.
-    found = met.groupBy("doc_id", "source", "print", *features).agg(
+    found = met.groupBy("doc_id", "source", "print", *FEATURES).agg(
         F.coalesce(F.sum(F.when(F.col("frequent"), F.col("part.words"))), F.lit(0)).alias("removed"),
         F.sum(F.when(F.coalesce("at", F.lit(0)) == 0, 1)).alias("copies"))
-    found = found.withColumn("removed_words", F.expr("removed div copies"))
-    found = found.withColumn("kept", ~F.col("base_failed") & F.expr(f"100 * (n_words - removed_words) >= {min_left} * n_words"))
-    return found.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select("doc_id", *features, "removed_words", "kept")
+    found = found.withColumn("removed_words", F.expr("removed div copies")).drop("removed")
+    return found.withColumn("kept", ~F.col("base_failed") & F.expr(f"100 * (n_words - removed_words) >= {min_left} * n_words"))
+
+
+def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: int = MIN_LEFT) -> DataFrame:
+    """``doc_id``, the base features, ``removed_words`` and ``kept`` for every row of ``docs(doc_id, text, source)``.
+
+    A null or empty text has no words and fails the base rules; a null source is a host of its own; rows with a
+    null doc_id count as one document of their host, repeated rows as one; each row of the input, repeated or
+    not, has a row in the result.  Other columns are ignored.  An empty table gives an empty result.
+    """
+    found = _verdicts(docs, max_documents, min_left)
+    return found.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select("doc_id", *FEATURES, "removed_words", "kept")
+
+
+def kept_documents(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: int = MIN_LEFT) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, whole and with all their columns."""
+    out = _verdicts(docs, max_documents, min_left).filter("NOT kept").select(
+        F.col("doc_id").alias("out_id"), F.col("source").alias("out_source"), F.col("print").alias("out_print"))
+    met = docs["doc_id"].eqNullSafe(out["out_id"]) & docs["source"].eqNullSafe(out["out_source"]) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == out["out_print"])
+    return docs.join(out, met, "left_anti")
 
 
 SQL = r"""
