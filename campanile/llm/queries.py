@@ -53,7 +53,9 @@ def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
     """Fitted on the labels outside the held-out fold."""
     known = labels.select("doc_id", "toxic").filter("toxic IN (0, 1)").filter(F.pmod(crc(), F.lit(5)) != 0)
-    return toxicity.fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    # The sample's size is bounded, so it may be broadcast, and no text is shuffled.
+    sample = bounded(known, toxicity.MAX_LABELLED)
+    return toxicity.fit(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:

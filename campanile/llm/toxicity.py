@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from campanile.llm.sample import bounded, crc
 from campanile.llm.ship import ship
+from campanile.llm.store import stored
 from campanile.llm.words import Words, batches, mix, split_words
 
 #: Labelled documents that the model is fitted on, at most; a documented bound.
@@ -216,6 +217,7 @@ def fit(labelled: DataFrame, max_labelled: int = MAX_LABELLED, max_tokens: int =
     ship(labelled.sparkSession)
     rows = bounded(labelled.filter("toxic IN (0, 1)").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                                                             F.col("toxic").cast("bigint").alias("toxic")), max_labelled)
+    rows = stored(rows, "labelled")  # read by five small passes
     fold = F.pmod(crc(), F.lit(FOLDS))
     kinds = {(r.toxic, r.late): r["count"] for r in rows.groupBy("toxic", (fold == CALIBRATION).alias("late")).count().collect()}
     toxic, clean = kinds.get((1, False), 0), kinds.get((0, False), 0)
