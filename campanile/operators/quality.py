@@ -71,7 +71,7 @@ def quarantine_events(messages: DataFrame) -> DataFrame:
 
     Adds to :func:`validate_events`: required values that are null or not of
     their type, and amounts that do not fit the money type.  Sound messages are
-    parsed once; only those lacking a required value are looked at again to
+    parsed once; blank text counts as a value; only those lacking a required value are looked at again to
     tell malformed, absent and null apart.
     """
     parsed = with_parsed(messages, "e", F.from_json("value", schemas.EVENT))
@@ -80,12 +80,16 @@ def quarantine_events(messages: DataFrame) -> DataFrame:
         lacking = lacking | F.col(f"e.{name}").isNull()
     fields = F.when(lacking, F.from_json("value", "map<string,string>"))
     parsed = with_parsed(parsed, "_fields", fields)
-    amount = F.coalesce("e.spend_usd", "e.bid_amount_usd")
+    # Every amount that is summed: one that does not fit would stop the whole batch.
+    amounts = (F.coalesce("e.spend_usd", "e.bid_amount_usd"), F.col("e.sales_amount_euro"))
+    unfit = F.lit(False)
+    for amount in amounts:
+        unfit = unfit | F.isnan(amount) | (F.abs(amount) >= AMOUNT_LIMIT)
     reason = first_reason(
         ("malformed json", lacking & F.col("_fields").isNull()),
         *[(f"missing {name}", ~F.map_contains_key("_fields", name)) for name in REQUIRED_FIELDS],
         *[(f"null {name}", F.col(f"e.{name}").isNull()) for name in REQUIRED_FIELDS],
-        ("amount out of range", F.isnan(amount) | (F.abs(amount) >= AMOUNT_LIMIT)),
+        ("amount out of range", unfit),
     )
     return parsed.select(
         "value", reason.alias("reject_reason"), "e.*", F.col("e.timestamp").alias("event_timestamp")

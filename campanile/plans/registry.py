@@ -57,7 +57,7 @@ def _stats(spark, folder, dims: Sequence[str] = (), window: str = "1 day") -> Da
 
 @query()
 def parse_events(spark, folder):
-    parsed = ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder, spread_rows=True)))
+    parsed = ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder)))
     return parsed.select(
         "event_timestamp", "campaign_id", "event_type", "user_id", "spend_usd", "device_type",
         "product_category_1", "sales_amount_euro",
@@ -66,7 +66,7 @@ def parse_events(spark, folder):
 
 @query()
 def enrich_events(spark, folder):
-    parsed = ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder, spread_rows=True)))
+    parsed = ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder)))
     return ingest.enrich_events(parsed).select(
         "event_timestamp", "campaign_id", "event_type", "total_bid_amount", "device_type", "country_code",
         "product_age_group", "product_category_1", "product_category_2", "sale",
@@ -487,26 +487,26 @@ def root_cause_point(spark, folder):
 
 @query()
 def validate_events(spark, folder):
-    checked = quality.validate_events(derived.faulty_messages(derived.ad_events(spark, folder, spread_rows=True)))
+    checked = quality.validate_events(derived.faulty_messages(derived.ad_events(spark, folder)))
     return checked.groupBy("reject_reason").agg(F.count("*").alias("message_count"))
 
 
 @query()
 def quarantine_events(spark, folder):
-    checked = quality.quarantine_events(derived.faulty_messages(derived.ad_events(spark, folder, spread_rows=True)))
+    checked = quality.quarantine_events(derived.faulty_messages(derived.ad_events(spark, folder)))
     return quality.rejected(checked).groupBy("reject_reason").agg(F.count("*").alias("message_count"))
 
 
 @query()
 def stats_without_rejects(spark, folder):
-    checked = quality.quarantine_events(derived.faulty_messages(derived.ad_events(spark, folder, spread_rows=True)))
+    checked = quality.quarantine_events(derived.faulty_messages(derived.ad_events(spark, folder)))
     stats = aggregate.aggregate_events(ingest.enrich_events(quality.accepted(checked)), "1 day")
     return _doubles(stats, "total_bid_amount")
 
 
 @query()
 def quality_counts(spark, folder):
-    checked = quality.validate_events(derived.faulty_messages(derived.ad_events(spark, folder, spread_rows=True)))
+    checked = quality.validate_events(derived.faulty_messages(derived.ad_events(spark, folder)))
     return quality.quality_counts(checked)
 
 
@@ -650,7 +650,7 @@ def operational_log(spark, folder):
 def event_file_stats(spark, folder):
     """Events sent as JSON lines to a folder, read back and aggregated."""
     place = session.scratch_dir(spark, "events")
-    sent = derived.event_messages(derived.ad_events(spark, folder, spread_rows=True))
+    sent = derived.event_messages(derived.ad_events(spark, folder))
     messages.write_messages(sent, "text", place)
     events = ingest.enrich_events(event_sources.read_events_json(spark, place))
     stats = aggregate.aggregate_events(events, "1 hour", time_col="timestamp")

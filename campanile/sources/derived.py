@@ -14,7 +14,7 @@ from campanile.functions import from_micros, sum_money
 from campanile.operators.aggregate import aggregate_events
 from campanile.operators.dedupe import file_position
 from campanile.schemas import CLICK_LOG_COLUMNS
-from campanile.sources.tables import read_table, spread
+from campanile.sources.tables import read_table
 
 # Order dates end in 2001 and events in 2024; runs are shifted onto the events.
 RUN_SHIFT_DAYS = 8217
@@ -53,10 +53,10 @@ def to_ad_events(events: DataFrame) -> DataFrame:
     )
 
 
-def ad_events(spark: SparkSession, folder: str, spread_rows: bool = False) -> DataFrame:
-    """The event table; ``spread_rows`` for costly work on each event."""
+def ad_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table."""
     events = read_table(spark, folder, "events")
-    return to_ad_events(spread(events) if spread_rows else events)
+    return to_ad_events(events)
 
 
 def campaign_stats(
@@ -101,7 +101,7 @@ def event_batch_messages(spark: SparkSession, folder: str) -> DataFrame:
     ``arrival`` is the unique arrival order.
     """
     positioned = read_table(spark, folder, "events").select("*", file_position().alias("_position"))
-    events = spread(positioned).withColumn("iso", F.expr(_iso("ts")))
+    events = positioned.withColumn("iso", F.expr(_iso("ts")))
     event = (
         "named_struct('event_id', concat(event_id, '-{i}'), 'timestamp', iso, 'event_name', event_type, "
         "'attributes', map('user_id', CAST(user_id AS STRING), 'k', get_json_object(props, '$.k')))"
@@ -256,6 +256,6 @@ def click_log_lines(spark: SparkSession, folder: str) -> DataFrame:
         "user_id": missing_if(order % 50 == 0, order),
     }
     fields = [values[name].cast("string") for name in CLICK_LOG_COLUMNS]
-    whole = spread(read_table(spark, folder, "lineitem")).select("l_linenumber", F.concat_ws("\t", *fields).alias("value"))
+    whole = read_table(spark, folder, "lineitem").select("l_linenumber", F.concat_ws("\t", *fields).alias("value"))
     short = F.substring_index("value", "\t", len(fields) - 1)
     return whole.select(F.when(line == 6, short).otherwise(F.col("value")).alias("value"))

@@ -8,14 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from campanile import schemas
 
-#: Bus options the stream starts from; callers override any of them.
-BUS_DEFAULTS = {
-    "failOnDataLoss": "false",
-    "startingOffsets": "earliest",
-    "maxOffsetsPerTrigger": "10000",
-}
-#: The same rate limit for folders, counted in files.
-FOLDER_DEFAULTS = {"maxFilesPerTrigger": "100"}
+#: Bus options the stream starts from; callers override any of them.  Lost data stops the stream.
+BUS_DEFAULTS = {"failOnDataLoss": "true", "startingOffsets": "earliest"}
 
 
 def read_event_stream(
@@ -24,11 +18,12 @@ def read_event_stream(
 ) -> DataFrame:
     """Streaming messages with a string column ``value``.
 
-    ``fmt="kafka"`` needs the connector on the class path and at least
+    Intake is not limited unless the caller asks for it, by ``maxOffsetsPerTrigger`` for a
+    bus or ``maxFilesPerTrigger`` for folders.  ``fmt="kafka"`` needs the connector on the class path and at least
     ``kafka.bootstrap.servers`` and ``subscribe``.  Folders of JSON lines are
     read with ``fmt="text"``; ``value`` is then one line.
     """
-    defaults = BUS_DEFAULTS if fmt == "kafka" else FOLDER_DEFAULTS
+    defaults = BUS_DEFAULTS if fmt == "kafka" else {}
     reader = spark.readStream.format(fmt).options(**{**defaults, **(options or {})})
     raw = reader.load(path) if path else reader.load()
     return raw.withColumn("value", F.col("value").cast("string"))

@@ -11,18 +11,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Use all cores for costly work per row on a table with few file splits.
-
-    A table with at least one split per core, as any large one, stays as it is.
-    Give the table as read, before any shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.isStreaming or table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores)
-
-
 def read_jdbc(
     spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None,
     partition_column: str | None = None, lower: str | None = None, upper: str | None = None,

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from pyspark.sql import Observation, functions as F
 
 from campanile.operators import dedupe, quality
@@ -150,3 +152,12 @@ def test_a_bad_batch_does_not_take_its_id(spark):
 def test_default_batch_limit_is_a_thousand_events(spark):
     got = ingest(spark, envelope("b1", 1000), envelope("b2", 1001))
     assert table(got, "seq", "reject_reason") == [(0, None), (1, "too many events")]
+
+
+@pytest.mark.parametrize("field", ["spend_usd", "sales_amount_euro"])
+@pytest.mark.parametrize("value", ['"NaN"', "1e13", "-1e13"])
+def test_every_summed_amount_is_checked(spark, field, value):
+    """One message with such an amount would stop the aggregation of its whole batch."""
+    bad = '{"timestamp":"2024-01-01T10:00:00Z","campaign_id":"c","event_type":"click","%s":%s}' % (field, value)
+    checked = quality.quarantine_events(messages(spark, bad)).select("reject_reason").first()
+    assert checked.reject_reason == "amount out of range"
