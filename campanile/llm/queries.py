@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import bpe, html_text, jaccard_join, langid, maxent_lm, mixing, quality_rules, top_k, toxicity
+from campanile.llm import bpe, html_text, jaccard_join, langid, license_scan, maxent_lm, mixing, quality_rules, top_k, toxicity
 from campanile.llm.sample import bounded, crc
 
 
@@ -45,6 +45,10 @@ def op4_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(_table(spark, folder, "documents"))
+
+
 def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings")
     return top_k.top_k(vectors, vectors.filter("vec_id % 100 = 0"), 10)
@@ -79,9 +83,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_maxent_lm, op4_byte_level_bpe, op6_exact_top_k,
+    return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_maxent_lm, op4_byte_level_bpe, op5_license_scan, op6_exact_top_k,
                                     op7_toxicity, op8_html_extraction, op9_mix_sources, op10_ngram_jaccard_join)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.SQL}
+    return {"op2_quality_rules": quality_rules.SQL, "op5_license_scan": license_scan.SQL}

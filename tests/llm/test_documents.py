@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from campanile.llm import bpe, jaccard_join, langid, maxent_lm, mixing, quality_rules, toxicity
+from campanile.llm import bpe, jaccard_join, langid, license_scan, maxent_lm, mixing, quality_rules, toxicity
 from campanile.llm.components import components
 from campanile.llm.words import shingles, split_words
 from tests.llm.cases import collected, frame, texts
@@ -260,3 +260,13 @@ def test_crc_of_ids_is_that_of_their_text(spark):
 
     got = collected(frame(spark).filter("doc_id IS NOT NULL").select("doc_id", crc().alias("crc")), "doc_id", "crc")
     assert all(c == zlib.crc32(str(i).encode()) for i, c in got)
+
+
+def test_license_scan_of_spellings_lines_and_whole_texts(spark):
+    rows = [(1, "Copyright (c) 2020 Me\nReleased  under the MIT LICENCE", None, None), (2, "/* (C) x */\n* licensed under the apache license, v2.0", None, None),
+            (3, "word word\nAll rights reserved.\nall rights reserved\nReleased under the MIT License.", None, None),
+            (4, "MIT", None, None), (5, "", None, None), (6, None, None, None), (None, "All rights reserved.", None, None), (4, "MIT", None, None)]
+    got = collected(license_scan.scan(frame(spark, rows)), "doc_id", "text_license", "line_licenses")
+    assert got == sorted([(1, "MIT", ["MIT"]), (2, "Apache-2.0", ["Apache-2.0"]), (3, None, ["MIT", "Proprietary"]), (4, None, []), (4, None, []),
+                          (5, None, []), (6, None, []), (None, "Proprietary", ["Proprietary"])], key=repr)
+    assert license_scan.scan(frame(spark, [])).count() == 0
