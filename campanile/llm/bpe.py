@@ -6,8 +6,8 @@ token ends there: in byte-level BPE a row of tokens is an encoding exactly if ev
 neighbours are, so the last token of each prefix is unique.  Tokens that all live places
 agree on are emitted at once; a place stays live only while some token continues what was
 read since, so the lookahead is bounded by the longest token.  States and transitions are
-made when first met and kept; the tables are dropped when they are full, as they can
-always be made again.
+made when they have been met a few times, and kept; until then the live places are
+followed without making a state.  The tables are dropped when they are full, as they can always be made again.
 
 Decoding concatenates the tokens' bytes; a UTF-8 state machine holds back the bytes of an
 unfinished character between chunks.
@@ -29,7 +29,9 @@ from campanile.llm.ship import ship
 from campanile.llm.words import batches
 
 #: Kept states, pieces and neighbour tests; a full table is dropped and begun anew.
-MAX_STATES, MAX_PIECES, MAX_PAIRS = 200_000, 250_000, 400_000
+MAX_STATES, MAX_PIECES, MAX_PAIRS = 150_000, 300_000, 200_000
+#: A move is made when it was wanted so many times before.
+OFTEN = 4
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -59,7 +61,8 @@ class Transducer:
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
         self.beginnings = {token[:k] for token in ranks for k in range(1, len(token))}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
+        self._spines: dict[int, tuple[list, list]] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -70,16 +73,50 @@ class Transducer:
         self._number = {self._states[0]: 0}
         self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
         self._ends: dict[int, tuple[int, ...]] = {}
+        self._met: dict[int, int] = {}
+
+    def _edges(self, token: int) -> tuple[list, list]:
+        """The parts that stood at the token's right and left edge while it was merged, each with the rank that ended it."""
+        known = self._spines.get(token)
+        if known is None:
+            data = self.token[token]
+            parts = [data[i:i + 1] for i in range(len(data))]
+            right, left = [[parts[-1], None]], [[parts[0], None]]
+            while len(parts) > 1:
+                found = [(self.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.ranks]
+                if not found:
+                    break
+                rank, i = min(found)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                for edge, part in ((right, parts[-1]), (left, parts[0])):
+                    if edge[-1][0] != part:
+                        edge[-1][1] = rank
+                        edge.append([part, None])
+            never = len(self.token) + max(self.token, default=0)
+            pack_ = lambda edge: [(part, never if rank is None else rank) for part, rank in edge]
+            known = self._spines[token] = (pack_(right), pack_(left)) if len(parts) == 1 else ([], [])
+        return known
 
     def _neighbours(self, left: int, right: int) -> bool:
-        """Whether ``left, right`` (or ``right`` alone, at the start) is what its bytes are encoded to."""
-        known = self._pairs.get((left, right))
+        """Whether ``left, right`` (or ``right`` alone, at the start) is what its bytes are encoded to.
+
+        Merges go by rising rank, so the two stay apart unless some part at the one's right edge joins a part at
+        the other's left edge before either has been merged into its own token.
+        """
+        if left < 0:
+            return bool(self._edges(right)[0])
+        known = self._pairs.get(left << 32 | right)
         if known is None:
             if len(self._pairs) >= MAX_PAIRS:
                 self._pairs.clear()
-            both = ([] if left < 0 else [left]) + [right]
-            known = merge_all(b"".join(self.token[t] for t in both), self.ranks) == both
-            self._pairs[left, right] = known
+            ending, beginning = self._edges(left)[0], self._edges(right)[1]
+            known = bool(ending and beginning)
+            for one, until in ending if known else ():
+                for two, till in beginning:
+                    rank = self.ranks.get(one + two)
+                    if rank is not None and rank < until and rank <= till:
+                        known = False
+            self._pairs[left << 32 | right] = known
         return known
 
     def _chain(self, ends: tuple, place: int) -> list[int]:
@@ -144,15 +181,50 @@ class Transducer:
             tokens = self._ends[state] = tuple(self._chain(ends, len(ends)))
         return tokens
 
+    def _run(self, state: int, rest: bytes) -> list[int]:
+        """Tokens of the pending bytes and ``rest``, by following all live places at once, without new states."""
+        last, pending = self._states[state]
+        read, ends = pending + rest, [last, *self._places[state]]
+        ranks, beginnings, pairs = self.ranks, self.beginnings, self._pairs
+        live = [p for p in range(len(pending)) if ends[p] is not None] + [len(pending)] * (ends[-1] is not None)
+        for end in range(len(pending) + 1, len(read) + 1):
+            ending, still = None, []
+            for start in live:
+                part = read[start:end]
+                if ending is None:
+                    right = ranks.get(part)
+                    if right is not None:
+                        before = ends[start]
+                        good = pairs.get(before << 32 | right) if before >= 0 else None
+                        if self._neighbours(before, right) if good is None else good:
+                            ending = right
+                if part in beginnings:
+                    still.append(start)
+            if ending is not None:
+                still.append(end)
+            ends.append(ending)
+            live = still
+        return self._chain(tuple(ends[1:]), len(read))
+
     def encode(self, piece: bytes) -> list[int]:
+        """Follows known moves; a move is made when it has been met ``OFTEN`` times."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
         if len(self._states) > MAX_STATES:
             self._reset()
         state, out, moves = self.START, [], self._moves
-        for byte in piece:
-            move = moves.get(state << 8 | byte) or self.step(state, byte)
+        for i, byte in enumerate(piece):
+            key = state << 8 | byte
+            move = moves.get(key)
+            if move is None:
+                met = self._met.get(key, 0)
+                if met < OFTEN:
+                    if len(self._met) >= MAX_STATES:
+                        self._met.clear()
+                    self._met[key] = met + 1
+                    return out + self._run(state, piece[i:])
+                move = self.step(state, byte)
             state = move[0]
             if move[1]:
                 out.extend(move[1])
