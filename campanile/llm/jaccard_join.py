@@ -36,6 +36,7 @@ GRAMS_PER_PART = 4_000_000
 GRAMS_PER_BATCH = 1_000_000
 
 _SENT = "part int, doc_id binary, set binary, check binary, n binary, own binary, runs binary, grams binary, others binary"
+_REPLY = "part int, doc_id binary, set binary, check binary, n binary, own binary"
 _KNOWN = "doc_id bigint, set bigint, check bigint, n bigint, repeated bigint"
 
 
@@ -75,8 +76,12 @@ def _send(blocks, size: int, parts: int):
         many = ~new
         many[:-1] |= many[1:].copy()  # every gram that a second set of this batch has
         local = np.bincount(owner[many], minlength=len(sets))
-        rows = [(int(mix(sets[:1].astype(np.uint64))[0] % np.uint64(parts)), ids.tobytes(), sets.tobytes(),
-                 checks.tobytes(), n.tobytes(), local.astype(np.int64).tobytes(), None, None, None)]
+        # What is known of the documents goes to the part that gathers their sets.
+        to = (mix(sets.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        rows = []
+        for k in np.unique(to):
+            here = to == k
+            rows.append((int(k), *(c[here].tobytes() for c in (ids, sets, checks, n, local.astype(np.int64))), None, None, None))
         grams, owner, single = grams[new], owner[new], ~many[new]
         # Hash ranges of equal width: the high bits name the part, the rest goes in 32 bits.
         part = ((grams >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -111,31 +116,50 @@ def _send(blocks, size: int, parts: int):
         yield flush()
 
 
-def _reply(key, table):
-    """For one hash range: how many of each set's grams another batch sent as well."""
-    rows = table.to_pylist()
-    known = [np.zeros((5, 0), np.int64)]
-    sets, counts, low, others = [], [], [], []
-    for row in rows:
+def _reply(key, table, parts: int):
+    """For one hash range: how many of each set's grams another set has as well, packed by set."""
+    sent = [row for row in table.to_pylist() if row["doc_id"] is None]
+    out = [[int(row["part"]), *(row[c] for c in ("doc_id", "set", "check", "n", "own"))]
+           for row in table.to_pylist() if row["doc_id"] is not None]
+    if sent:
+        sets = np.concatenate([np.frombuffer(row["own"], np.int64) for row in sent])
+        runs = np.concatenate([np.frombuffer(row["runs"], np.uint32) for row in sent])
+        grams = np.concatenate([np.frombuffer(row["grams"], np.uint32) for row in sent])
+        shared = np.concatenate([np.frombuffer(row["others"], np.uint32) for row in sent])
+        owner = np.repeat(sets, runs)
+        order = np.lexsort((owner, grams))
+        grams, owner = grams[order], owner[order]
+        once = np.ones(len(grams), bool)  # equal sets of several batches count once
+        once[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+        grams, owner = grams[once], owner[once]
+        many = np.zeros(len(grams), bool)
+        many[1:] = grams[1:] == grams[:-1]
+        many[:-1] |= many[1:].copy()
+        many |= np.isin(grams, shared)
+        of, number = np.unique(owner[many], return_counts=True)
+        to = (mix(of.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        of, number, to = of[order], number[order], to[order]
+        start = np.flatnonzero(np.diff(to, prepend=-1))
+        for i, j in zip(start, np.append(start[1:], len(to))):
+            out.append([int(to[i]), None, of[i:j].tobytes(), None, None, number[i:j].astype(np.int64).tobytes()])
+    return pa.table({name: pa.array([r[i] for r in out], pa.binary() if i else pa.int32())
+                     for i, name in enumerate(("part", "doc_id", "set", "check", "n", "own"))})
+
+
+def _gather(key, table):
+    """One row per document of the part's sets, with its set's number of repeated grams."""
+    known, sets, number = [np.zeros((4, 0), np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for row in table.to_pylist():
+        own = np.frombuffer(row["own"], np.int64)
+        sets.append(np.frombuffer(row["set"], np.int64))
+        number.append(own)
         if row["doc_id"] is not None:
-            known.append(np.stack([np.frombuffer(row[c], np.int64) for c in ("doc_id", "set", "check", "n", "own")]))
-            continue
-        sets.append(np.frombuffer(row["own"], np.int64))
-        counts.append(np.frombuffer(row["runs"], np.uint32).astype(np.int64))
-        low.append(np.frombuffer(row["grams"], np.uint32))
-        others.append(np.frombuffer(row["others"], np.uint32))
-    out = [np.concatenate(known, axis=1)]
-    if sets:
-        sets, counts, own = np.concatenate(sets), np.concatenate(counts), np.concatenate(low)
-        seen = np.sort(np.concatenate([own, *others]))
-        again = np.unique(seen[1:][seen[1:] == seen[:-1]])
-        at = np.minimum(np.searchsorted(again, own), max(len(again) - 1, 0))
-        hit = (again[at] == own) if len(again) else np.zeros(len(own), bool)
-        number = np.bincount(np.repeat(np.arange(len(sets)), counts), hit, minlength=len(sets)).astype(np.int64)
-        sets, number = sets[number > 0], number[number > 0]
-        out.append(np.stack([np.full(len(sets), -1), sets, np.zeros_like(sets), np.full(len(sets), -1), number]))
-    doc_id, of, check, n, repeated = np.concatenate(out, axis=1)
-    return pa.table({"doc_id": doc_id, "set": of, "check": check, "n": n, "repeated": repeated})
+            known.append(np.stack([np.frombuffer(row[c], np.int64) for c in ("doc_id", "set", "check", "n")]))
+    doc_id, of, check, n = np.concatenate(known, axis=1)
+    every, place = np.unique(np.concatenate(sets), return_inverse=True)
+    total = np.bincount(place, np.concatenate(number), minlength=len(every)).astype(np.int64)
+    return pa.table({"doc_id": doc_id, "set": of, "check": check, "n": n, "repeated": total[np.searchsorted(every, of)]})
 
 
 def _load(blocks, size: int):
@@ -208,6 +232,10 @@ def set_links(sets: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]
         "x.centre = y.centre AND x.other = y.block AND x.root <> y.root AND (x.block <> y.block OR x.member < y.member)"
         f" AND 100 * {bound} >= {percent} * (x.n + y.n - {bound})")).select(
         F.least("x.member", "y.member").alias("a"), F.greatest("x.member", "y.member").alias("b")).distinct()
+    # A link must share a gram of the prefixes: 32 bits of each are enough to refute most pairs before whole sets move.
+    short = stored(prefix.groupBy("set").agg(F.collect_list(F.hash("gram")).alias("short")), "prefixes")
+    rest = stored(rest.join(short.select(F.col("set").alias("b"), F.col("short").alias("short_b")), "b").join(
+        short.select(F.col("set").alias("a"), "short"), "a").filter(F.arrays_overlap("short", "short_b")).select("a", "b"), "rest")
     later = _overlaps(rest, alive).filter(_similar("overlap", "n_a", "n_b", percent)).select(
         F.col("a").alias("u"), F.col("b").alias("v"))
     links = stored(first.unionByName(later), "links")
@@ -235,24 +263,31 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     some = texts.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     length = some.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-length // (4 * GRAMS_PER_PART)))
-    answers = some.mapInArrow(lambda b: _send(b, size, parts), _SENT).groupBy("part").applyInArrow(_reply, _KNOWN)
-    answers = stored(answers, "answers")
-    known = answers.filter("n >= 0").drop("repeated")
-    counted = answers.groupBy("set").agg(
-        F.max("n").alias("n"), F.sum("repeated").alias("repeated"), F.min(F.when(F.col("n") >= 0, F.col("doc_id"))).alias("doc_id"),
-        F.min(F.when(F.col("n") >= 0, F.col("check"))).alias("check"), F.max(F.when(F.col("n") >= 0, F.col("check"))).alias("other"))
-    classes = stored(counted.filter("n > 0"), "classes")
+    sent = some.mapInArrow(lambda b: _send(b, size, parts), _SENT)
+    replies = sent.groupBy("part").applyInArrow(lambda key, table: _reply(key, table, parts), _REPLY)
+    known = stored(replies.groupBy("part").applyInArrow(_gather, _KNOWN), "known")
+    classes = known.filter("n > 0").groupBy("set").agg(
+        F.max("n").alias("n"), F.max("repeated").alias("repeated"), F.min("doc_id").alias("doc_id"),
+        F.min("check").alias("check"), F.max("check").alias("other"))
+    classes = stored(classes, "classes")
     if not classes.filter("check <> other").isEmpty():
         raise ValueError("two different gram sets have one 64-bit fingerprint; change the hash base")
     wanted = classes.filter(f"repeated >= floor(({percent} * n + 99) / 100)").select("doc_id")
     loaded = some.join(wanted, "doc_id", "left_semi").mapInArrow(
         lambda b: _load(b, size), "set bigint, n bigint, grams array<bigint>")
-    sets = stored(loaded.filter("n > 0").dropDuplicates(["set"]), "sets")
+    # A Bloom filter of the wanted ids, bounded by Spark, spares most texts the shuffle.
+    small = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(small)
+    spark.conf.set(small, "0")
+    try:
+        sets = stored(loaded.filter("n > 0").dropDuplicates(["set"]), "sets")
+    finally:
+        spark.conf.set(small, before)
     _, roots = set_links(sets, percent)
     least = classes.select("set", "doc_id").join(roots.withColumnRenamed("node", "set"), "set", "left")
     component = least.groupBy(F.coalesce("root", "set").alias("root")).agg(F.min("doc_id").alias("component_id"))
     named = least.select("set", F.coalesce("root", "set").alias("root")).join(component, "root").select("set", "component_id")
-    linked = known.join(named, "set", "left").select(
+    linked = known.drop("repeated").join(named, "set", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     rest = texts.filter(F.col("doc_id").isNull() | F.col("text").isNull()).select(
         "doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
