@@ -4,6 +4,9 @@ Everything is a DataFrame expression.  Lines are normalised (lower case, digits
 for white space) and hashed; a host's documents that hold a line are counted once each, and
 lines of more than ``MAX_DOCUMENTS`` documents of the host are removed.  A document of which less than
 ``MIN_LEFT`` percent of the words are left is depleted and rejected.
+
+:func:`judge` counts documents by id, as its SQL twin does.  :func:`kept_documents`, which runs before near copies
+are joined, counts different contents, so a group of copies doesn't make boilerplate of its own lines.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from campanile.llm.store import stored
+
 #: A line of more documents of one host than this is boilerplate.
 MAX_DOCUMENTS = 10
 #: Percentage of a document's words that must be outside boilerplate.
@@ -86,14 +91,41 @@ def frequent_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataF
     return counted.filter(F.col("n") > max_documents).select("host", "line")
 
 
-def _verdicts(docs: DataFrame, max_documents: int, min_left: int) -> DataFrame:
+def lines_of_different_texts(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: int = MIN_LEFT) -> DataFrame:
+    """``host, line`` as :func:`frequent_lines`, but exact and near copies of a text count once, whatever their ids.
+
+    A text that the lines of more than ``max_documents`` contents would deplete is mostly made of shared lines.  It
+    counts under the rarest of them: near copies of one text share that line, save those in which an edit hit it, which
+    share the next one.  So the count of a group's own lines grows with the logarithm of the group only, while a
+    line that other texts hold as well has their counts too.
+    """
+    parts = docs.select(F.col("source").cast("string").alias("host"), F.xxhash64("text").alias("print"), F.explode(F.transform(
+        _lines(F.col("text").cast("string")),
+        lambda line: F.struct(F.xxhash64(_normal(line)).alias("line"), F.regexp_count(line, F.lit(WORD)).alias("words")))).alias("part"))
+    # Equal texts of a host are one group each; their words are summed over the copies, which leaves shares as they are.
+    lines = stored(parts.groupBy("host", "print", "part.line").agg(F.sum("part.words").alias("words")), "lines")
+    first = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > max_documents)
+    first = first.select(F.col("host").alias("in_host"), F.col("line").alias("held"), "n")
+    met = lines.join(first, lines["host"].eqNullSafe(first["in_host"]) & (lines["line"] == first["held"]), "left")
+    texts = met.groupBy("host", "print").agg(
+        F.sum("words").alias("words"), F.sum(F.when(F.col("n").isNotNull(), F.col("words"))).alias("shared"),
+        F.min(F.when(F.col("n").isNotNull(), F.struct("n", "line"))).alias("rarest"))
+    depleted = texts.filter(f"100 * (words - shared) < {min_left} * words").select(
+        F.col("host").alias("of_host"), F.col("print").alias("of_print"), F.col("rarest.line").alias("group"))
+    hits = met.filter("n IS NOT NULL").select("host", "print", "line")
+    grouped = hits.join(depleted, hits["host"].eqNullSafe(depleted["of_host"]) & (hits["print"] == depleted["of_print"]), "left")
+    counted = grouped.groupBy("host", "line").agg(F.count_distinct(F.coalesce("group", "print")).alias("n"))
+    return counted.filter(F.col("n") > max_documents).select("host", "line")
+
+
+def _verdicts(docs: DataFrame, frequent: DataFrame, min_left: int) -> DataFrame:
     """One row for all equal rows of ``docs``, known by ``doc_id, source, print``; ``copies`` says how many they are."""
     docs = docs.select("doc_id", F.col("source").cast("string").alias("source"), "text")
     rows = base_features(docs, "doc_id", "source").withColumn("print", F.xxhash64("text"))
     lines = F.transform(_lines(F.col("text")), lambda line: F.struct(
         F.xxhash64(_normal(line)).alias("line"), F.regexp_count(line, F.lit(WORD)).alias("words")))
     rows = rows.select("doc_id", "source", "print", *FEATURES, F.posexplode_outer(lines).alias("at", "part"))
-    frequent = frequent_lines(docs, max_documents).withColumn("frequent", F.lit(True))
+    frequent = frequent.withColumn("frequent", F.lit(True))
     met = rows.join(frequent, rows["source"].eqNullSafe(frequent["host"]) & (F.col("part.line") == frequent["line"]), "left")
     found = met.groupBy("doc_id", "source", "print", *FEATURES).agg(
         F.coalesce(F.sum(F.when(F.col("frequent"), F.col("part.words"))), F.lit(0)).alias("removed"),
@@ -109,13 +141,16 @@ def judge(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: int = M
     null doc_id count as one document of their host, repeated rows as one; each row of the input, repeated or
     not, has a row in the result.  Other columns are ignored.  An empty table gives an empty result.
     """
-    found = _verdicts(docs, max_documents, min_left)
+    found = _verdicts(docs, frequent_lines(docs.withColumn("source", F.col("source").cast("string")), max_documents), min_left)
     return found.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select("doc_id", *FEATURES, "removed_words", "kept")
 
 
 def kept_documents(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, min_left: int = MIN_LEFT) -> DataFrame:
-    """The rows of ``docs`` that :func:`judge` keeps, whole and with all their columns."""
-    out = _verdicts(docs, max_documents, min_left).filter("NOT kept").select(
+    """The rows of ``docs`` that pass the base rules and aren't depleted, whole and with all their columns.
+
+    The rules are those of :func:`judge`, with lines counted by :func:`lines_of_different_texts`.
+    """
+    out = _verdicts(docs, lines_of_different_texts(docs, max_documents, min_left), min_left).filter("NOT kept").select(
         F.col("doc_id").alias("out_id"), F.col("source").alias("out_source"), F.col("print").alias("out_print"))
     met = docs["doc_id"].eqNullSafe(out["out_id"]) & docs["source"].eqNullSafe(out["out_source"]) & (
         F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == out["out_print"])

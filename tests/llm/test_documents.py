@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -12,10 +13,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from campanile.llm import bpe, jaccard_join, langid, license_scan, maxent_lm, mixing, quality_rules, toxicity
 from campanile.llm.components import components
 from campanile.llm.words import shingles, split_words
-from tests.llm.cases import collected, frame, texts
+from tests.llm.cases import collected, frame, texts, words
 
 P = pytest.importorskip("public_tokenizers")
 RANKS = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
@@ -109,6 +111,25 @@ def test_quality_rules_keep_whole_rows(spark):
     assert quality_rules.judge(frame(spark, [])).count() == 0
 
 
+def test_one_of_a_large_group_of_copies_in_one_host_survives(spark):
+    rng = random.Random(3)
+    lines = [" ".join(words(rng, 12)) for _ in range(20)]
+    near = [list(lines) for _ in range(300)]
+    for i, copy in enumerate(near):  # one word differs, each line in 15 of them
+        copy[i % 20] = f"edit{i} " + copy[i % 20]
+    footer = " ".join(words(rng, 30))
+    rows = [(i, "\n".join(words(random.Random(5), 40)), "a", "hot") for i in range(1000)]
+    rows += [(2000 + i, "\n".join(copy), "a", "hot") for i, copy in enumerate(near)]
+    # Boilerplate of different texts goes on: most words of the first, few of the second kind.
+    rows += [(3000 + i, " ".join(words(rng, 25)) + "\n" + footer, "a", "cold") for i in range(20)]
+    rows += [(4000 + i, " ".join(words(rng, 40)) + "\n" + footer, "a", "cold") for i in range(20)]
+    docs = frame(spark, rows)
+    poor = corpus_pipeline.drop_poor(spark, docs, "")
+    assert {r.doc_id for r in poor.filter("source = 'cold'").collect()} == set(range(4000, 4020))
+    left = corpus_pipeline.one_of_each_group(spark, corpus_pipeline.stored(poor, "poor"), "").filter("source = 'hot'")
+    assert sorted(r.doc_id for r in left.collect()) == [0, 2000]
+
+
 def test_repeated_words_of_overlapping_windows(spark):
     cases = ["a b c d e f g h a b c d e f g h", "x " * 9, "a b c d e f g", "p q r s t u v w z p q r s t u v w"]
     rows = spark.createDataFrame([(c.split(),) for c in cases], "words array<string>")
