@@ -693,7 +693,7 @@ def purged_stats(spark, folder):
 def _event_stream(spark, folder):
     """The event table as a stream of ad events; all files in one trigger."""
     schema = tables.read_table(spark, folder, "events").schema
-    return derived.to_ad_events(event_sources.read_table_stream(spark, folder, "events.parquet", schema))
+    return derived.to_ad_events(event_sources.read_table_stream(spark, folder, "events", schema))
 
 
 def _drain(stream: DataFrame, spark: SparkSession, name: str, date_col: str | None = "window_start_time"):

@@ -35,13 +35,13 @@ def read_events_json(spark: SparkSession, path: str, streaming: bool = False, **
     return reader.schema(schemas.EVENT).options(**options).json(path)
 
 
-def read_table_stream(spark: SparkSession, folder: str, file_glob: str, schema, **options: str) -> DataFrame:
-    """Stream a Parquet table; ``file_glob`` picks files within the folder."""
-    return (
-        spark.readStream.schema(schema)
-        .options(pathGlobFilter=file_glob, **options)
-        .parquet(folder)
-    )
+def read_table_stream(spark: SparkSession, folder: str, name: str, schema, **options: str) -> DataFrame:
+    """Stream a Parquet table ``{folder}/{name}.parquet``, a file or a folder of part files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+    # A plain path is taken as the base of partitions, which must be a folder; a pattern may match one file.
+    place = f"{folder}/{name}.parquet" if status.isDirectory() else f"{folder}/[{name[0]}]{name[1:]}.parquet"
+    return spark.readStream.schema(schema).options(**options).parquet(place)
 
 
 def generated_event_stream(spark: SparkSession, rows_per_second: int = 100, campaigns: int = 20) -> DataFrame:

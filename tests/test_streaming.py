@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from campanile import schemas
 from campanile.operators import aggregate, dedupe, ingest, quality
+from campanile.plans import registry
 from campanile.sinks import stats_table
 from campanile.sources import derived, events as sources
 from campanile.streaming import arrival, progress, repeats, stats_job
@@ -138,6 +139,15 @@ def test_stream_equals_batch_on_the_event_table(spark, feed):
     assert feed.current() == feed.batch()
 
 
+@pytest.mark.parametrize("name", ["stream_minute_stats", "stream_stats_with_rejects", "stream_arrival_totals", "stream_repeats"])
+def test_streams_read_a_table_of_several_part_files(spark, folder, name):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{folder}/events.parquet")
+    query = registry.all_queries()[name]
+    got, wanted = (table(query(spark, place).drop("batch_id"), "*") for place in (folder, "/root/testdata/sf0.001"))
+    assert got == wanted != []
+
+
 def test_start_is_idempotent_and_stop_is_clean(feed):
     feed.add(event("10:00:01"))
     stats = stats_job.event_stats(feed.messages())
