@@ -22,15 +22,17 @@ def _instant(value: datetime | str) -> Column:
     return F.lit(value).cast("timestamp")
 
 
-def _check_range(start: datetime | str, end: datetime | str) -> None:
-    if datetime.fromisoformat(str(start)) > datetime.fromisoformat(str(end)):
+def _check_range(start: datetime | str | None, end: datetime | str | None) -> None:
+    if start is not None and end is not None and datetime.fromisoformat(str(start)) > datetime.fromisoformat(str(end)):
         raise ValueError("start of the time range is after its end")
 
 
-def in_window(df: DataFrame, start, end, column: str = "window_start_time") -> DataFrame:
-    """Half-open time range; compares the raw column, so it reaches the scan."""
+def in_window(df: DataFrame, start=None, end=None, column: str = "window_start_time") -> DataFrame:
+    """Half-open time range, open where a bound is None; compares the raw column, so it reaches the scan."""
     _check_range(start, end)
-    return df.filter((F.col(column) >= _instant(start)) & (F.col(column) < _instant(end)))
+    if start is not None:
+        df = df.filter(F.col(column) >= _instant(start))
+    return df if end is None else df.filter(F.col(column) < _instant(end))
 
 
 def newer_than(df: DataFrame, as_of, days: int, column: str = "window_start_time") -> DataFrame:

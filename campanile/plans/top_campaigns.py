@@ -21,7 +21,7 @@ def _percent(fraction: str) -> Column:
     return F.round((F.col(fraction) * F.lit(100.0)).cast("decimal(28,10)"), 4).cast("double")
 
 
-def campaign_totals(hourly: DataFrame, start, end) -> DataFrame:
+def campaign_totals(hourly: DataFrame, start=None, end=None) -> DataFrame:
     """Sums per campaign and country; campaigns without impressions are left out.
 
     Rows with NULL or negative impressions do not count.
@@ -45,10 +45,10 @@ def campaign_totals(hourly: DataFrame, start, end) -> DataFrame:
 
 
 def top_campaigns(
-    hourly: DataFrame, start, end, k: int = TOP_PER_COUNTRY, min_impressions: int = MIN_IMPRESSIONS,
+    hourly: DataFrame, start=None, end=None, k: int = TOP_PER_COUNTRY, min_impressions: int = MIN_IMPRESSIONS,
     report_date: str | None = None, stamp: bool = False,
 ) -> DataFrame:
-    """Campaigns ranked by click rate, conversion rate, spend and volume.
+    """Campaigns ranked by click rate, conversion rate, spend and volume; of all time without ``start`` and ``end``.
 
     The campaign id breaks remaining ties.  The rank filter lets Spark keep only
     the first ``k`` rows per country in every task before they are shuffled, so
@@ -83,7 +83,7 @@ def top_campaigns(
         score.alias("performance_score"),
         "hourly_records_count",
         ctr_tier(F.col("ctr")).alias("ctr_performance_tier"),
-        F.lit(report_date or str(start)[:10]).alias("report_date"),
+        F.lit(report_date or (None if start is None else str(start)[:10])).cast("string").alias("report_date"),
     )
     if stamp:
         report = report.withColumn("report_generated_at", F.current_timestamp())

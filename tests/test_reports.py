@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from campanile import schemas
 from campanile.functions import ctr_tier, from_micros, in_percent, in_thousands, micros, performance_score, rounded_ratio, safe_div
 from campanile.plans import health, reports
+from campanile.plans import registry
 from campanile.plans.top_campaigns import top_campaigns
 from tests.helpers import at, rows, stats_frame, stats_row, table
 
@@ -238,6 +239,34 @@ def test_top_campaigns_per_country(spark):
     assert "report_generated_at" in top_campaigns(hourly(spark, *facts), *DAY, stamp=True).columns
 
 
+def test_top_campaigns_of_all_time_leave_no_year_out(spark):
+    facts = [(f"{year}-07-15 12:00:00", f"c{year}", "US", 1000, 10, 1, 10) for year in (1990, 1997, 2030)]
+    assert sorted(r.campaign_id for r in top_campaigns(hourly(spark, *facts)).collect()) == ["c1990", "c1997", "c2030"]
+    assert [r.campaign_id for r in top_campaigns(hourly(spark, *facts), start="1997-01-01").collect()] == ["c1997", "c2030"]
+
+
+def moved(spark, folder, name, column, stretch):
+    """A folder of the smallest tables, with the times of one table moved."""
+    for other in ("orders", "customer", "nation", "lineitem", "events"):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{other}.parquet")
+        (rows.withColumn(column, F.expr(stretch)) if other == name else rows).write.parquet(f"{folder}/{other}.parquet")
+    return folder
+
+
+def test_all_time_query_counts_orders_of_any_year(spark, folder):
+    query = registry.all_queries()["top_campaigns_by_country_all_time"]
+    names = ("country_code", "campaign_id", "total_impressions")
+    wanted = rows(query(spark, "/root/testdata/sf0.001"), *names)
+    place = moved(spark, folder, "orders", "o_orderdate", "o_orderdate - INTERVAL '30' YEAR")
+    assert rows(query(spark, place), *names) == wanted != []
+
+
+def test_triggers_count_events_over_more_than_the_watermark(spark, folder):
+    place = moved(spark, folder, "events", "ts", "ts + make_dt_interval(event_id % 40 * 30)")
+    got = registry.all_queries()["stream_stats_over_triggers"](spark, place)
+    assert got.agg(F.sum("event_count")).first()[0] == 1000
+
+
 def test_top_campaigns_ties_and_large_counts(spark):
     facts = [(NOON, c, "US", 400_000, 200_000, 100_000, "1.005") for c in "dcba"]
     got = top_campaigns(hourly(spark, *facts), *DAY)
