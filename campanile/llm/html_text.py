@@ -49,14 +49,22 @@ _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)
 _PART = re.compile(r"[a-z]+")
 
 
-def _section(name: str, rest: str) -> str | None:
-    """The kind of section that an element opens, or None if it says nothing about its words."""
-    hints = set()
+def _section(name: str, rest: str, nested: bool = False) -> str | None:
+    """The kind of section that an element opens, or None if it says nothing about its words.
+
+    A part of a name as in ``comments-open`` or ``has-sidebar`` tells what the page has, not what a ``main`` or
+    ``article`` is: the first is content whatever its names, the second unless a whole name is a hint.  ``nested``
+    articles, in another one or under a hint, are often comments: there a part is enough.  ``post`` and the like outdo both.
+    """
+    hints, names = set(), set()
     for found in _NAMES.findall(rest):
+        names.update("".join(found).lower().split())
         hints.update(_PART.findall("".join(found).lower()))
     if re.search(r"(?:^|\s)hidden(?:$|[\s=])|display\s*:\s*none", rest, re.I):
         return "hint:hidden"
-    if bad := hints & HINTS:
+    if name == "main" or (name == "article" and names & CONTENT_HINTS):
+        return name
+    if bad := (names if name == "article" and not nested else hints) & HINTS:
         return "hint:" + min(bad)
     if name in BOILERPLATE or name in CONTENT:
         return name
@@ -117,7 +125,7 @@ def events(page: str):
             if name in ("p", "li") and open_ and open_[-1][0] == name:
                 open_.pop()  # these end where the next one begins
                 _, kind, content, barred = open_[-1] if open_ else ("", "body", False, False)
-            own = _section(name, found["rest"])
+            own = _section(name, found["rest"], kind.startswith("hint:") or any(o[0] == "article" for o in open_))
             bad = own is not None and (own in BOILERPLATE or own.startswith("hint:"))
             inner = own if own and (bad or own in CONTENT or own.startswith("content:") or not kind.startswith("hint:")) else kind
             if own and not bad and own not in CONTENT and (kind in BOILERPLATE or kind in CONTENT):

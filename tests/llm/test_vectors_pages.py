@@ -58,6 +58,21 @@ def test_extraction_of_nested_and_unclosed_markup():
     assert [html_text.main_text(p, {}) for p in (None, "", "<p></p>", "plain text", "<nav>only menu</nav>")] == ["", "", "", "plain text", ""]
 
 
+@pytest.mark.parametrize("tag, names", [
+    ("article", 'class="post comments-open"'), ("main", 'class="has-sidebar"'), ("article", 'class="category-social"'), ("main", "id=menu")])
+def test_content_elements_outdo_hints_in_their_names(tag, names):
+    page = PAGE.replace("<article>", f"<{tag} {names}>").replace("</article>", f"</{tag}>")
+    assert html_text.main_text(page, {}) == html_text.main_text(PAGE, {}) != ""
+    assert any(inside for *_, inside in html_text.events(page))
+
+
+def test_comments_in_articles_of_their_own_stay_out():
+    comment = '<article class="comment-body"><p>reader says things</p></article>'
+    for page in (PAGE.replace("</article>", comment + "</article>"), PAGE.replace("<aside>", f'<div id="comments">{comment}</div><aside>'),
+                 PAGE.replace("<aside>", '<article class="comment"><p>reader says things</p></article><aside>')):
+        assert html_text.main_text(page, {}) == html_text.main_text(PAGE, {})
+
+
 def test_extraction_learns_from_marked_pages(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (2, None, None, "x"), (None, "v", "", "x"), (1, "u", PAGE, "x")],
                                   "page_id bigint, url string, html string, text string")
