@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import bpe, html_text, jaccard_join, langid, license_scan, maxent_lm, mixing, quality_rules, top_k, toxicity
+from campanile.llm import (bpe, conversation_repair, hard_negatives, html_text, jaccard_join, langid, license_scan, maxent_lm, mixing,
+                           quality_rules, top_k, toxicity, url_filter)
 from campanile.llm.sample import bounded, crc
 
 
@@ -82,10 +83,25 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, folder, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, folder, "pages"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(conversations), conversations)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, folder, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_maxent_lm, op4_byte_level_bpe, op5_license_scan, op6_exact_top_k,
-                                    op7_toxicity, op8_html_extraction, op9_mix_sources, op10_ngram_jaccard_join)}
+                                    op7_toxicity, op8_html_extraction, op9_mix_sources, op10_ngram_jaccard_join,
+                                    op11_url_filter, op12_conversation_repair, op13_hard_negatives)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.SQL, "op5_license_scan": license_scan.SQL}
+    return {"op2_quality_rules": quality_rules.SQL, "op5_license_scan": license_scan.SQL,
+            "op11_url_filter": url_filter.SQL, "op13_hard_negatives": hard_negatives.SQL}

@@ -99,4 +99,4 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
 
 
 def test_each_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.all_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.all_queries()) == list(range(1, 14))
