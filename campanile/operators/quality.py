@@ -140,14 +140,8 @@ def null_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rejected(df.withColumn("reject_reason", reason))
 
 
-def ingest_batches(
-    messages: DataFrame, order: str, max_events: int = MAX_BATCH_EVENTS, max_bytes: int = MAX_BATCH_BYTES,
-) -> DataFrame:
-    """Check event batches; adds ``reject_field`` and ``reject_reason``.
-
-    A batch id counts as taken by its earliest batch that passes all other
-    rules; later ones are duplicates.  ``order`` is the unique arrival order.
-    """
+def check_batches(messages: DataFrame, max_events: int = MAX_BATCH_EVENTS, max_bytes: int = MAX_BATCH_BYTES) -> DataFrame:
+    """Parsed event batches with ``bad``, the field and the text of the first rule that one breaks by itself, else NULL."""
     parsed = parse_event_batches(messages)
     rules = (
         ("body", "payload too large", F.octet_length("value") > max_bytes),
@@ -162,10 +156,26 @@ def ingest_batches(
     reason = F.coalesce(*[
         F.when(broken, F.struct(F.lit(field).alias("field"), F.lit(text).alias("text"))) for field, text, broken in rules
     ])
-    checked = parsed.withColumn("_bad", reason)
-    judged = flag_repeats(checked, ["batch_id"], order, "_repeat", among=F.col("_bad").isNull())
+    return parsed.withColumn("bad", reason)
+
+
+def with_batch_verdict(judged: DataFrame, repeat: str) -> DataFrame:
+    """``reject_field`` and ``reject_reason`` from ``bad`` and the flag of repeated batch ids, in place of both."""
     return judged.select(
-        *parsed.columns,
-        F.when(F.col("_repeat"), "batch_id").otherwise(F.col("_bad.field")).alias("reject_field"),
-        F.when(F.col("_repeat"), "duplicate batch").otherwise(F.col("_bad.text")).alias("reject_reason"),
+        *[c for c in judged.columns if c not in ("bad", repeat)],
+        F.when(F.col(repeat), "batch_id").otherwise(F.col("bad.field")).alias("reject_field"),
+        F.when(F.col(repeat), "duplicate batch").otherwise(F.col("bad.text")).alias("reject_reason"),
     )
+
+
+def ingest_batches(
+    messages: DataFrame, order: str, max_events: int = MAX_BATCH_EVENTS, max_bytes: int = MAX_BATCH_BYTES,
+) -> DataFrame:
+    """Check event batches; adds ``reject_field`` and ``reject_reason``.
+
+    A batch id counts as taken by its earliest batch that passes all other
+    rules; later ones are duplicates.  ``order`` is the unique arrival order.
+    """
+    checked = check_batches(messages, max_events, max_bytes)
+    judged = flag_repeats(checked, ["batch_id"], order, "_repeat", among=F.col("bad").isNull())
+    return with_batch_verdict(judged, "_repeat")

@@ -8,7 +8,7 @@ The Spark side may take a shorter way to the same rows.
 from __future__ import annotations
 
 from campanile.plans.registry import (
-    ADVERTISER, ALL_ORDERS, AS_OF, CAMPAIGN, META_AS_OF, RANGE, REPORT_MONTH,
+    ADVERTISER, ALL_ORDERS, AS_OF, CAMPAIGN, EARLY_END, META_AS_OF, RANGE, REPORT_MONTH, SLICES,
 )
 
 _SQL: dict[str, str] = {}
@@ -658,3 +658,54 @@ add("stream_stats_over_triggers", PLAIN, EVENTS, stats_cte("day", ""))
 add("event_file_stats", PLAIN, EVENTS, stats_cte("hour", ""))
 add("stored_stats_after_compaction", PLAIN, EVENTS, stats_cte("hour", ""))
 _SQL["purged_stats"] = _SQL["retained_stats"]
+
+# --- tables and streams over several micro-batches ------------------------------------------------
+
+add("stream_ingest_batches", """
+SELECT CASE WHEN NOT malformed THEN batch_id END AS batch_id, CASE WHEN NOT malformed THEN source END AS source,
+  CASE WHEN NOT malformed THEN CAST(n AS INTEGER) END AS event_count,
+  CASE WHEN bad IS NULL AND nth > 1 THEN 'batch_id' ELSE field END AS reject_field,
+  CASE WHEN bad IS NULL AND nth > 1 THEN 'duplicate batch' ELSE bad END AS reject_reason
+FROM ranked""", BATCHES, JUDGED)
+FILLED = """
+filled AS (SELECT * REPLACE (coalesce(device_type, 'unknown') AS device_type, coalesce(country_code, 'unknown') AS country_code) FROM ad_events)"""
+add("stored_stats_by_device", """
+SELECT campaign_id, event_type, window_start_time, window_end_time, device_type, country_code, event_count,
+  CAST(total_bid_amount AS DOUBLE) AS total_bid_amount, CAST(total_sales_amount_euro AS DOUBLE) AS total_sales_amount_euro FROM stats""",
+    EVENTS, FILLED, stats_cte("day", "device_type, country_code", "filled"))
+add("stored_revenue_by_device", """
+SELECT device_type, CAST(sum(total_sales_amount_euro) AS DOUBLE) AS total_revenue,
+  CASE WHEN sum(event_count) FILTER (WHERE event_type = 'click') > 0
+    THEN CAST(sum(event_count) FILTER (WHERE event_type = 'conversion') AS DOUBLE) / CAST(sum(event_count) FILTER (WHERE event_type = 'click') AS DOUBLE)
+    ELSE 0.0 END AS conversion_rate
+FROM stats GROUP BY device_type""", EVENTS, FILLED, stats_cte("day", "device_type, country_code", "filled"))
+_SQL["stats_after_purge_and_compaction"] = _SQL["retained_stats"]
+on_stats("stored_stats_for_campaign", f"{RECORDS} WHERE campaign_id = '{CAMPAIGN}' AND {IN_RANGE}", unit="hour", dims="")
+
+
+def _summary(stage: int, source: str, condition: str = "true") -> str:
+    return f"""
+SELECT campaign_id, event_type, CAST(sum(event_count) AS BIGINT) AS total_events, CAST(sum(total_bid_amount) AS DOUBLE) AS total_bid_amount,
+  CAST(sum(CAST(CAST(total_bid_amount AS DOUBLE) / event_count AS DECIMAL(28,12))) AS DOUBLE) / count(*) AS avg_bid_per_event,
+  min(window_start_time) AS first_event_time, max(window_end_time) AS last_event_time, count(*) AS total_windows, {stage} AS stage
+FROM {source} WHERE {condition} GROUP BY campaign_id, event_type"""
+
+
+add("kept_summary_by_stage", f"""
+{_summary(0, 'begun')} UNION ALL {_summary(1, 'stats')} UNION ALL {_summary(2, 'stats', f'window_start_time >= {LIMIT}')}""",
+    EVENTS, f"early AS (SELECT * FROM ad_events WHERE event_timestamp < TIMESTAMP '{EARLY_END}')",
+    stats_cte("hour", "", "early", "begun"), stats_cte("hour", ""))
+add("stream_late_rows", f"""
+SELECT e.event_id, e.event_timestamp, e.campaign_id, e.event_type, e.spend_usd, m.watermark,
+  date_trunc('hour', e.event_timestamp) + INTERVAL 1 HOUR AS window_end_time, e.event_id % {SLICES} AS batch
+FROM ad_events e JOIN marks m ON e.event_id % {SLICES} = m.slice
+WHERE date_trunc('hour', e.event_timestamp) + INTERVAL 1 HOUR <= m.watermark""", EVENTS, f"""
+marks AS (
+  SELECT s.slice, max(event_timestamp) - INTERVAL 10 DAY AS watermark
+  FROM (SELECT unnest(range({SLICES})) AS slice) s JOIN ad_events ON event_id % {SLICES} < s.slice GROUP BY s.slice)""")
+add("stream_repeat_records", """
+SELECT record_key, occurrence FROM (
+  SELECT campaign_id || ':' || event_type AS record_key,
+    row_number() OVER (PARTITION BY campaign_id, event_type ORDER BY event_timestamp, event_id) AS occurrence
+  FROM ad_events)
+WHERE occurrence > 1""", EVENTS)

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from campanile import session
 from campanile.operators import aggregate, dedupe, ingest, lookup, maintenance, quality, views
 from campanile.plans import health, reports
 from campanile.plans.top_campaigns import top_campaigns
-from campanile.sinks import messages, oplog, stats_table
+from campanile.sinks import messages, oplog, stats_table, stored
 from campanile.sources import click_log, derived, events as event_sources, tables
-from campanile.streaming import arrival, repeats, stats_job
+from campanile.streaming import arrival, batch_ingest, late, repeat_history, repeats, stats_job
 
 Query = Callable[[SparkSession, str], DataFrame]
+Run = Callable[[int], object]
 
 AS_OF = "2024-01-31 00:00:00"
 META_AS_OF = "2024-01-20"
@@ -763,3 +764,152 @@ def stream_stats_over_triggers(spark, folder):
         ).awaitTermination()
     current = stats_table.latest_stats(stats_table.read_versions(spark, f"{place}/table", stats.schema))
     return _doubles(current, "total_bid_amount").drop("updated_at")
+
+
+# --- tables and streams over several micro-batches ------------------------------------------------
+
+EARLY_END, RUNNING_HOUR = "2024-01-15 12:30:00", "2024-01-15 12:00:00"
+PURGE_AS_OF = "2024-04-15 12:00:00"
+LATE_DELAY = "10 days"
+STORED_DIMS = ("device_type", "country_code")
+
+
+def _time_slice(events: DataFrame) -> Column:
+    """Slices of time; rows without one are in the first."""
+    at = F.unix_micros("event_timestamp")
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    width = (last - first) // SLICES + 1 if first is not None else 1
+    return F.coalesce(F.expr(f"(unix_micros(event_timestamp) - {first or 0}) div {width}"), F.lit(0))
+
+
+def _in_slices(slice_of: Callable[[int], DataFrame], place: str, start: Run) -> None:
+    """Add the slices to the folder of a stream one by one; it is started anew for each and drained."""
+    for i in range(SLICES):
+        slice_of(i).write.mode("append").parquet(f"{place}/in")
+        start(i).awaitTermination()
+
+
+def _typed_stream(spark: SparkSession, place: str, schema) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(f"{place}/in")
+
+
+@query()
+def stream_ingest_batches(spark, folder):
+    """The ingest rules over a stream of batches in order of arrival; ids come again within slices and across them."""
+    place = session.scratch_dir(spark, "ingest")
+    sent = derived.event_batch_messages(spark, folder)
+    first, last = sent.agg(F.min("arrival.event_id"), F.max("arrival.event_id")).first()
+    # Rounded to odd numbers, so a slice ends within a pair of equal batch ids.
+    width = ((last - first) // SLICES + 1 if first is not None else 1) | 1
+    part = F.expr(f"(arrival.event_id - {first or 0}) div {width}")
+    ledger = batch_ingest.batch_ledger(spark, f"{place}/ledger", buckets=16)
+    _in_slices(lambda i: sent.filter(part == i), place, lambda i: batch_ingest.start_ingest_stream(
+        _typed_stream(spark, place, sent.schema), f"{place}/judged", ledger, f"{place}/checkpoint", f"{place.rsplit('/', 1)[-1]}-{i}",
+        "arrival", fold_every=2, max_events=2))
+    judged = spark.read.parquet(f"{place}/judged")
+    return judged.select("batch_id", "source", F.size("events").alias("event_count"), "reject_field", "reject_reason")
+
+
+def _streamed_table(spark, folder, name, window, dims, sales):
+    """A versioned table filled by the statistics stream in slices of time, folded twice on the way."""
+    place = session.scratch_dir(spark, name)
+    events = derived.ad_events(spark, folder)
+    part, schema = _time_slice(events), derived.event_messages(events).schema
+    table = stored.stats_table(spark, f"{place}/table", dims, sales)
+
+    def start(i):
+        if i % 2:
+            table.compact()
+        stats = stats_job.event_stats(_typed_stream(spark, place, schema), window, dims=dims, sales=sales)
+        return stats_job.start_table_stream(stats, table, f"{place}/checkpoint", f"{place.rsplit('/', 1)[-1]}-{i}", processing_time=None)
+
+    _in_slices(lambda i: derived.event_messages(events.filter(part == i)), place, start)
+    return table
+
+
+@query()
+def stored_stats_by_device(spark, folder):
+    table = _streamed_table(spark, folder, "devices", "1 day", STORED_DIMS, True)
+    return _doubles(table.current(), "total_bid_amount", "total_sales_amount_euro").drop("updated_at", stored.DAY)
+
+
+@query()
+def stored_revenue_by_device(spark, folder):
+    """Stream, table, view and report with the revenue that the events carry."""
+    table = _streamed_table(spark, folder, "revenue", "1 day", STORED_DIMS, True)
+    return reports.performance_by_device(views.stats_view(table.current()))
+
+
+def _early_and_late(spark, folder, purpose):
+    """A versioned table and two micro-batches of hourly statistics; the second replaces a running hour."""
+    place = session.scratch_dir(spark, purpose)
+    events = derived.ad_events(spark, folder).withColumn("total_bid_amount", F.col("spend_usd"))
+    early = aggregate.aggregate_events(events.filter(f"event_timestamp < TIMESTAMP '{EARLY_END}'"), "1 hour")
+    late_part = aggregate.aggregate_events(events.filter(f"event_timestamp >= TIMESTAMP '{RUNNING_HOUR}'"), "1 hour")
+    return place, stored.stats_table(spark, f"{place}/table"), early, late_part
+
+
+@query()
+def stats_after_purge_and_compaction(spark, folder):
+    """Rows that retention removed stay away, though a later micro-batch brings them again."""
+    _, table, early, late_part = _early_and_late(spark, folder, "purge")
+    write = table.writer()
+    write(early, 0)
+    table.compact()
+    write(late_part, 1)
+    stored.purge_expired(table, PURGE_AS_OF)
+    write(early.filter(f"window_start_time < TIMESTAMP '{RUNNING_HOUR}'"), 2)
+    table.compact()
+    return views.stats_records(table.current())
+
+
+@query()
+def stored_stats_for_campaign(spark, folder):
+    """One campaign over two weeks: days outside aren't opened, Bloom filters skip files without it."""
+    _, table, early, late_part = _early_and_late(spark, folder, "lookup")
+    table.writer()(early, 0)
+    table.writer()(late_part, 1)
+    table.compact()
+    return views.stats_records(lookup.stats_where(stored.stats_between(table, *RANGE), campaign_id=CAMPAIGN))
+
+
+@query()
+def kept_summary_by_stage(spark, folder):
+    """The kept summary after each change of the table: a first batch, one that replaces an hour, a purge."""
+    place, table, early, late_part = _early_and_late(spark, folder, "kept")
+    kept = stored.KeptSummary(table, f"{place}/summary")
+    changes = (lambda: table.writer()(early, 0), lambda: table.writer()(late_part, 1), lambda: stored.purge_expired(table, PURGE_AS_OF))
+    for stage, change in enumerate(changes):
+        change()
+        kept.refresh()
+        kept.summary().write.parquet(f"{place}/out/stage={stage}")
+    return _doubles(spark.read.parquet(f"{place}/out"), "total_bid_amount")
+
+
+@query()
+def stream_late_rows(spark, folder):
+    """Rows whose hour had ended ten days before the newest row of earlier slices; every slice spans the whole time."""
+    place = session.scratch_dir(spark, "late")
+    events = derived.ad_events(spark, folder).select("event_id", "event_timestamp", "campaign_id", "event_type", "spend_usd")
+    part = F.pmod("event_id", F.lit(SLICES))
+    _in_slices(lambda i: events.filter(part == i), place, lambda i: late.start_late_stream(
+        _typed_stream(spark, place, events.schema), f"{place}/late", f"{place}/checkpoint", f"{place.rsplit('/', 1)[-1]}-{i}",
+        window="1 hour", watermark=LATE_DELAY))
+    return late.read_late_rows(spark, f"{place}/late", events.schema)
+
+
+@query()
+def stream_repeat_records(spark, folder):
+    """Every repeated record once, over slices of time with a restart between them."""
+    place = session.scratch_dir(spark, "history")
+    events = derived.ad_events(spark, folder).select("event_id", "event_timestamp", "campaign_id", "event_type")
+    part = _time_slice(events)
+
+    def start(i):
+        keyed = dedupe.with_record_key(_typed_stream(spark, place, events.schema), "campaign_id", "event_type")
+        found = repeat_history.repeated_within(keyed, "record_key", "event_timestamp", "400 days", "1 minute")
+        return (found.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{place}/checkpoint")
+                .format("parquet").option("path", f"{place}/out").start())
+
+    _in_slices(lambda i: events.filter(part == i), place, start)
+    return spark.read.schema(repeat_history.OUTPUT).parquet(f"{place}/out").select("record_key", "occurrence")

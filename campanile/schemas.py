@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 S, L, I, D, B, TS, DT = (
@@ -34,6 +36,22 @@ STATS = _struct(
     event_count=L, total_bid_amount=MONEY,
 )
 
+
+
+def stats_keys(dims: Sequence[str] = ()) -> tuple[str, ...]:
+    """Key of a statistics table that carries dimensions."""
+    return (*STATS_KEYS, *dims)
+
+
+def stats(dims: Sequence[str] = (), sales: bool = False) -> T.StructType:
+    """A stored statistics table with dimensions and, if wanted, real revenue."""
+    money = {"total_bid_amount": MONEY} | ({"total_sales_amount_euro": MONEY} if sales else {})
+    return _struct(
+        campaign_id=S, event_type=S, window_start_time=TS, window_end_time=TS,
+        **{d: I if d in CATEGORIES else S for d in dims}, event_count=L, **money, updated_at=TS,
+    )
+
+
 METADATA = _struct(
     campaign_id=S, campaign_name=S, advertiser_id=S, advertiser_name=S,
     industry_category=S, target_audience=S, start_date=DT, end_date=DT,

@@ -22,6 +22,17 @@ MAX_ATTEMPTS = 3
 BACKOFF_SECONDS = 2.0
 
 
+def persistently(write: Callable[[], None], attempts: int = MAX_ATTEMPTS, backoff: float = BACKOFF_SECONDS) -> None:
+    """Try a write again after a pause; its last failure is raised."""
+    for attempt in range(1, attempts + 1):
+        try:
+            return write()
+        except Exception:
+            if attempt == attempts:
+                raise
+            time.sleep(backoff * attempt)
+
+
 def upsert_stats(
     batch: DataFrame, batch_id: int, path: str, date_col: str | None = "window_start_time",
     attempts: int = MAX_ATTEMPTS, backoff: float = BACKOFF_SECONDS,
@@ -38,14 +49,7 @@ def upsert_stats(
     writer = stamped.hint("rebalance", *(["stats_date"] if date_col else [])).write.mode("overwrite")
     if date_col:
         writer = writer.partitionBy("stats_date")
-    for attempt in range(1, attempts + 1):
-        try:
-            writer.parquet(f"{path}/batch_id={batch_id}")
-            return
-        except Exception:
-            if attempt == attempts:
-                raise
-            time.sleep(backoff * attempt)
+    persistently(lambda: writer.parquet(f"{path}/batch_id={batch_id}"), attempts, backoff)
 
 
 def stats_writer(path: str, **options) -> Callable[[DataFrame, int], None]:

@@ -11,6 +11,7 @@ from campanile.operators.aggregate import aggregate_events
 from campanile.operators.ingest import enrich_events
 from campanile.operators.quality import accepted, observe_quality, quarantine_events, rejected
 from campanile.sinks.stats_table import stats_writer
+from campanile.sinks.versioned import VersionedTable
 
 WINDOW = "1 minute"
 WATERMARK = "1 minute"
@@ -18,14 +19,14 @@ TRIGGER = "1 minute"
 
 
 def event_stats(
-    messages: DataFrame, window: str = WINDOW, watermark: str = WATERMARK, dims: Sequence[str] = (),
+    messages: DataFrame, window: str = WINDOW, watermark: str = WATERMARK, dims: Sequence[str] = (), sales: bool = False,
 ) -> DataFrame:
-    """Validate, parse, enrich and aggregate a stream of messages."""
+    """Validate, parse, enrich and aggregate a stream of messages, with dimensions and revenue if wanted."""
     checked = observe_quality(quarantine_events(messages))
-    return aggregate_events(enrich_events(accepted(checked)), window, watermark, dims)
+    return aggregate_events(enrich_events(accepted(checked)), window, watermark, dims, sales)
 
 
-def _trigger(processing_time: str | None) -> dict:
+def trigger(processing_time: str | None) -> dict:
     return {"processingTime": processing_time} if processing_time else {"availableNow": True}
 
 
@@ -44,13 +45,30 @@ def start_stats_stream(
     return (
         stats.writeStream.queryName(name)
         .outputMode("update")
-        .trigger(**_trigger(processing_time))
+        .trigger(**trigger(processing_time))
         .option("checkpointLocation", checkpoint)
         .foreachBatch(stats_writer(path, date_col=date_col, **(writer_options or {})))
         .start()
     )
 
 
+def start_table_stream(
+    stats: DataFrame, table: VersionedTable, checkpoint: str, name: str, processing_time: str | None = TRIGGER, **options,
+) -> StreamingQuery:
+    """Start writing running totals into a versioned table; return the active query when it runs already."""
+    for active in stats.sparkSession.streams.active:
+        if active.name == name:
+            return active
+    return (
+        stats.writeStream.queryName(name)
+        .outputMode("update")
+        .trigger(**trigger(processing_time))
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(table.writer(**options))
+        .start()
+    )
+
+
 def start_reject_stream(
     messages: DataFrame, path: str, checkpoint: str, name: str, processing_time: str | None = TRIGGER,
 ) -> StreamingQuery:
@@ -59,7 +77,7 @@ def start_reject_stream(
     return (
         rejects.writeStream.queryName(name)
         .outputMode("append")
-        .trigger(**_trigger(processing_time))
+        .trigger(**trigger(processing_time))
         .option("checkpointLocation", checkpoint)
         .option("path", path)
         .format("parquet")
