@@ -13,11 +13,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model, fitted on the labels outside its held-out fold, doesn't call toxic."""
+    """Documents that the model, fitted on the labels outside its held-out fold, doesn't call toxic; null and empty texts stay."""
     model = queries.toxicity_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    whole = docs.select(*COLUMNS).withColumn("whole", F.col("text"))
-    scored = toxicity.score(whole, model, "doc_id", "whole", "lang", "source", "n_chars")
-    return scored.filter("predicted = 0").withColumnRenamed("whole", "text").select(*COLUMNS)
+    return toxicity.without_toxic(docs.select(*COLUMNS), model)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,15 +24,29 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each component; a document without an id stays, equal rows become one."""
+    """The document of least id of each component; a document without an id stays, equal rows become one.
+
+    Ids may repeat: a text goes if its own component has a smaller id, whatever other texts under its id do; of several
+    texts of one id in one component the first by a hash of the text stays.
+    """
     docs = docs.select(*COLUMNS)
-    found = stored(jaccard_join.jaccard_components(docs), "components")
-    kept = docs.join(found.filter("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
-    again = found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    whole = F.xxhash64(F.coalesce("text", F.lit("")))
+    # Where an id has several texts, the join sees a row for each id and text, under a number of its own.
+    texts = stored(docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), whole.alias("print"), "text").dropDuplicates(["id", "print"]), "texts")
+    again = texts.groupBy("id").count().filter("count > 1").select(F.col("id").alias("again_id"))
     if again.isEmpty():
-        return kept
-    repeated = kept.join(again, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
-    return kept.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(repeated)
+        found = jaccard_join.jaccard_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("out_id"))
+        return docs.join(stored(found.distinct(), "components"), docs["doc_id"] == F.col("out_id"), "left_anti")
+    keyed = stored(texts.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    found = jaccard_join.jaccard_components(keyed.select(F.col("number").alias("doc_id"), "text"))
+    members = stored(found.select(F.col("doc_id").alias("number"), "component_id").join(keyed.drop("text"), "number"), "members")
+    one = members.groupBy("component_id").agg(F.min(F.struct("id", "print")).alias("stays"))
+    out = members.join(one, "component_id").filter(F.struct("id", "print") != F.col("stays")).select(
+        F.col("id").alias("out_id"), F.col("print").alias("out_print"))
+    rows = docs.withColumn("print", whole)
+    kept = rows.join(out, (rows["doc_id"] == out["out_id"]) & (rows["print"] == out["out_print"]), "left_anti")
+    with_id = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "print"])
+    return with_id.unionByName(kept.filter("doc_id IS NULL")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
