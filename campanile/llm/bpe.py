@@ -9,8 +9,8 @@ read since, so the lookahead is bounded by the longest token.  States and transi
 made when they have been met a few times, and kept; until then the live places are
 followed without making a state.  The tables are dropped when they are full, as they can always be made again.
 
-Decoding concatenates the tokens' bytes; a UTF-8 state machine holds back the bytes of an
-unfinished character between chunks.
+Decoding feeds the ids to an incremental UTF-8 state machine chunk by chunk; it gives out the bytes of whole characters
+and holds back those of an unfinished one.
 """
 
 from __future__ import annotations
@@ -29,9 +29,11 @@ from campanile.llm.ship import ship
 from campanile.llm.words import batches
 
 #: Kept states, pieces and neighbour tests; a full table is dropped and begun anew.
-MAX_STATES, MAX_PIECES, MAX_PAIRS = 150_000, 300_000, 200_000
+MAX_STATES, MAX_PIECES, MAX_PAIRS = 50_000, 150_000, 150_000
 #: A move is made when it was wanted so many times before.
 OFTEN = 4
+#: Ids that the decoder takes at once.
+CHUNK = 4096
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,7 +62,21 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.beginnings = {token[:k] for token in ranks for k in range(1, len(token))}
+        self._never = len(ranks) + max(ranks.values(), default=0)
+        # The tokens as a trie of numbered nodes, 0 the root: the token that ends at each, and whether one goes on.
+        self._child: dict[int, int] = {}
+        self._ending, self._goes_on = [-1], bytearray(1)
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                self._goes_on[node] = 1
+                below = self._child.get(node << 8 | byte)
+                if below is None:
+                    below = self._child[node << 8 | byte] = len(self._ending)
+                    self._ending.append(-1)
+                    self._goes_on.append(0)
+                node = below
+            self._ending[node] = rank
         self._pairs: dict[int, bool] = {}
         self._spines: dict[int, tuple[list, list]] = {}
         self._reset()
@@ -74,6 +90,16 @@ class Transducer:
         self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
         self._ends: dict[int, tuple[int, ...]] = {}
         self._met: dict[int, int] = {}
+        self._lives: dict[int, list[tuple[int, int]]] = {}
+
+    def _live(self, state: int) -> list[tuple[int, int]]:
+        """Places of a state where a token may still begin, each with its node in the trie."""
+        live = self._lives.get(state)
+        if live is None:
+            pending, ends = self._states[state][1], (self._states[state][0], *self._places[state])
+            live = [(p, self._node(pending[p:])) for p in range(len(pending) + 1) if ends[p] is not None]
+            live = self._lives[state] = [(p, node) for p, node in live if node >= 0]
+        return live
 
     def _edges(self, token: int) -> tuple[list, list]:
         """The parts that stood at the token's right and left edge while it was merged, each with the rank that ended it."""
@@ -92,8 +118,7 @@ class Transducer:
                     if edge[-1][0] != part:
                         edge[-1][1] = rank
                         edge.append([part, None])
-            never = len(self.token) + max(self.token, default=0)
-            pack_ = lambda edge: [(part, never if rank is None else rank) for part, rank in edge]
+            pack_ = lambda edge: [(part, self._never if rank is None else rank) for part, rank in edge]
             known = self._spines[token] = (pack_(right), pack_(left)) if len(parts) == 1 else ([], [])
         return known
 
@@ -119,6 +144,20 @@ class Transducer:
             self._pairs[left << 32 | right] = known
         return known
 
+    def _node(self, part: bytes) -> int:
+        """The trie's node that ``part`` leads to; -1 if no token begins with it."""
+        node = 0
+        for byte in part:
+            node = self._child.get(node << 8 | byte, -1)
+            if node < 0:
+                break
+        return node
+
+    def _begins(self, part: bytes) -> bool:
+        """Whether a token begins with ``part`` and goes on."""
+        node = self._node(part)
+        return node >= 0 and self._goes_on[node] == 1
+
     def _chain(self, ends: tuple, place: int) -> list[int]:
         """Tokens from the first pending byte to ``place``."""
         out = []
@@ -141,8 +180,8 @@ class Transducer:
                     break
         ends = (*ends, ending)
         emitted: tuple[int, ...] = ()
-        if read not in self.beginnings:  # no token can begin at the first place any more
-            live = [p for p in range(1, size) if ends[p - 1] is not None and read[p:] in self.beginnings]
+        if not self._begins(read):  # no token can begin at the first place any more
+            live = [p for p in range(1, size) if ends[p - 1] is not None and self._begins(read[p:])]
             if ending is not None:
                 live.append(size)
             chains = {p: self._chain(ends, p) for p in live}
@@ -184,27 +223,30 @@ class Transducer:
     def _run(self, state: int, rest: bytes) -> list[int]:
         """Tokens of the pending bytes and ``rest``, by following all live places at once, without new states."""
         last, pending = self._states[state]
-        read, ends = pending + rest, [last, *self._places[state]]
-        ranks, beginnings, pairs = self.ranks, self.beginnings, self._pairs
-        live = [p for p in range(len(pending)) if ends[p] is not None] + [len(pending)] * (ends[-1] is not None)
-        for end in range(len(pending) + 1, len(read) + 1):
+        ends = [last, *self._places[state]]
+        child, token_at, goes_on, pairs = self._child, self._ending, self._goes_on, self._pairs
+        # A live place is a number and its node in the trie, which moves by one look-up a byte.
+        live = self._live(state)
+        for end, byte in enumerate(rest, len(pending) + 1):
             ending, still = None, []
-            for start in live:
-                part = read[start:end]
+            for start, node in live:
+                node = child.get(node << 8 | byte)
+                if node is None:
+                    continue
                 if ending is None:
-                    right = ranks.get(part)
-                    if right is not None:
+                    right = token_at[node]
+                    if right >= 0:
                         before = ends[start]
                         good = pairs.get(before << 32 | right) if before >= 0 else None
                         if self._neighbours(before, right) if good is None else good:
                             ending = right
-                if part in beginnings:
-                    still.append(start)
+                if goes_on[node]:
+                    still.append((start, node))
             if ending is not None:
-                still.append(end)
+                still.append((end, 0))
             ends.append(ending)
             live = still
-        return self._chain(tuple(ends[1:]), len(read))
+        return self._chain(tuple(ends[1:]), len(ends) - 1)
 
     def encode(self, piece: bytes) -> list[int]:
         """Follows known moves; a move is made when it has been met ``OFTEN`` times."""
@@ -259,36 +301,114 @@ class Encoder:
         return b"".join([found(p) or piece(p) for p in self.pattern.findall(text)])
 
 
-class Utf8Stream:
-    """Incremental decoding: ``feed`` returns the characters that are complete, ``close`` the rest.
+def _utf8_moves() -> list[bytes]:
+    """Per state and byte the next state of the UTF-8 machine; ``ILL`` where the byte can't follow.
 
-    The state is the number of bytes that the character begun still needs; ill-formed bytes become U+FFFD.
+    State 0 is between characters; 1 to 3 wait for that many more bytes; 4 to 7 come after E0, ED, F0 and F4, whose
+    second byte is bounded further.
     """
+    moves = [bytearray([ILL]) * 256 for _ in range(8)]
+    for state, first, last, to in ((0, 0x00, 0x7F, 0), (0, 0xC2, 0xDF, 1), (0, 0xE0, 0xE0, 4), (0, 0xE1, 0xEC, 2), (0, 0xED, 0xED, 5),
+                                   (0, 0xEE, 0xEF, 2), (0, 0xF0, 0xF0, 6), (0, 0xF1, 0xF3, 3), (0, 0xF4, 0xF4, 7),
+                                   (1, 0x80, 0xBF, 0), (2, 0x80, 0xBF, 1), (3, 0x80, 0xBF, 2),
+                                   (4, 0xA0, 0xBF, 1), (5, 0x80, 0x9F, 1), (6, 0x90, 0xBF, 2), (7, 0x80, 0x8F, 2)):
+        moves[state][first:last + 1] = bytes([to]) * (last + 1 - first)
+    return [bytes(m) for m in moves]
+
+
+#: Marks of a move: the byte can't follow; the character that is unfinished began within the token.
+ILL, FRESH = 255, 8
+UTF8_MOVES = _utf8_moves()
+#: What a first byte adds to its character, by the state that it leads to.
+_FIRST_BITS = (0x7F, 0x1F, 0x0F, 0x07, 0x0F, 0x0F, 0x07, 0x07)
+
+
+class Utf8Stream:
+    """Incremental decoding of bytes: ``feed`` returns the characters that are complete, ``close`` the rest.
 
-    #: By a byte's upper five bits: bytes that a character with this first byte has; 0 continues one.
-    LENGTH = (1,) * 16 + (0,) * 8 + (2,) * 4 + (3,) * 2 + (4, 1)
+    Ill-formed bytes become U+FFFD, one for each character begun and broken off and for each byte that begins none.
+    """
 
     def __init__(self):
-        self.held = b""
+        self.state, self.point = 0, 0
 
     def feed(self, data: bytes) -> str:
-        data = self.held + data
-        cut = len(data)
-        for back in range(1, min(4, len(data)) + 1):
-            length = self.LENGTH[data[-back] >> 3]
-            if length:
-                if length > back:
-                    cut = len(data) - back
-                break
-        self.held = data[cut:]
-        return data[:cut].decode("utf-8", "replace")
+        out = []
+        for byte in data:
+            to = UTF8_MOVES[self.state][byte]
+            if to == ILL and self.state:
+                out.append("\ufffd")
+                self.state = 0
+                to = UTF8_MOVES[0][byte]
+            if to == ILL:
+                out.append("\ufffd")
+                continue
+            self.point = self.point << 6 | byte & 0x3F if self.state else byte & _FIRST_BITS[to]
+            self.state = to
+            if not to:
+                out.append(chr(self.point))
+        return "".join(out)
 
     def close(self) -> str:
-        rest, self.held = self.held, b""
-        return rest.decode("utf-8", "replace")
+        rest, self.state = "\ufffd" if self.state else "", 0
+        return rest
+
 
+class StreamDecoder:
+    """Incremental decoding of ids: ``feed`` returns the bytes of whole characters, ``close`` those of an unfinished one.
 
-def decode_stream(ids: Iterable[int], token: dict[int, bytes]) -> Iterator[str]:
+    The UTF-8 machine is moved by tokens; where a token leads from a state is found byte by byte once and kept.
+    """
+
+    def __init__(self, token: list[bytes]):
+        self.token, self.state, self.held = token, 0, b""
+        self._moves: dict[int, int] = {}  # at most eight for each token
+
+    def _move(self, key: int) -> int:
+        """The next state, plus ``FRESH`` if its character began within the token."""
+        state, fresh = key & 7, 0
+        for byte in self.token[key >> 3]:
+            to = UTF8_MOVES[state][byte]
+            if to == ILL:  # a broken character ends before this byte
+                state, to = 0, UTF8_MOVES[0][byte]
+            fresh = fresh if state else FRESH
+            state = 0 if to == ILL else to
+        self._moves[key] = state | fresh
+        return state | fresh
+
+    def feed(self, ids: list[int]) -> bytes:
+        state, moves, whole = self.state, self._moves, -1  # ids before ``whole`` are whole characters; -1: not even what is held is
+        for place, token in enumerate(ids, 1):
+            key = token << 3 | state
+            move = moves.get(key, -1)
+            if move < 0:
+                move = self._move(key)
+            state = move & 7
+            if not state:
+                whole = place
+            elif move & FRESH:
+                whole = place - 1
+        self.state = state
+        if whole < 0:
+            self.held += b"".join(map(self.token.__getitem__, ids))
+            return b""
+        data = self.held + b"".join(map(self.token.__getitem__, ids[:whole]))
+        self.held = b"".join(map(self.token.__getitem__, ids[whole:]))
+        return data
+
+    def close(self) -> bytes:
+        rest, self.state, self.held = self.held, 0, b""
+        return rest
+
+
+def tokens_by_rank(ranks: dict[bytes, int]) -> list[bytes]:
+    token = [b""] * (max(ranks.values(), default=-1) + 1)
+    for data, rank in ranks.items():
+        token[rank] = data
+    return token
+
+
+def decode_stream(ids: Iterable[int], token: list[bytes]) -> Iterator[str]:
     """Text of a stream of ids, given out as soon as characters are complete."""
     machine = Utf8Stream()
     for i in ids:
@@ -298,15 +418,8 @@ def decode_stream(ids: Iterable[int], token: dict[int, bytes]) -> Iterator[str]:
         yield text
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
 def _encode(blocks, shared, pattern: str):
-    ranks = shared.value
-    encoder = _ENCODERS.get((id(ranks), pattern))
-    if encoder is None:
-        _ENCODERS.clear()
-        encoder = _ENCODERS[id(ranks), pattern] = Encoder(ranks, pattern)
+    encoder = Encoder(shared.value, pattern)  # dropped with its tables at the end of the task
     for block in batches(blocks):
         ids = [encoder.encode(t or "") for t in block.column("text").to_pylist()]
         rest = [c for c in block.schema.names if c != "text"]
@@ -314,22 +427,14 @@ def _encode(blocks, shared, pattern: str):
 
 
 def _decode(blocks, shared):
-    ranks = shared.value
-    size = max(ranks.values(), default=-1) + 1
-    length = np.zeros(size, np.int64)
-    for token, rank in ranks.items():
-        length[rank] = len(token)
-    begin = np.cumsum(length) - length
-    flat = np.zeros(int(length.sum()), np.uint8)
-    for token, rank in ranks.items():
-        flat[begin[rank]:begin[rank] + len(token)] = np.frombuffer(token, np.uint8)
+    """Decodes chunk by chunk: a row's ids are fed to the machine ``CHUNK`` at a time."""
+    decoder = StreamDecoder(tokens_by_rank(shared.value))
     for block in batches(blocks):
         out = []
         for packed in block.column("ids").to_pylist():
             ids = np.frombuffer(packed or b"", "<u4")
-            end = np.cumsum(length[ids])
-            place = np.arange(end[-1] if len(end) else 0) + np.repeat(begin[ids] - end + length[ids], length[ids])
-            out.append(flat[place].tobytes())
+            parts = [decoder.feed(ids[at:at + CHUNK].tolist()) for at in range(0, len(ids), CHUNK)]
+            out.append(b"".join([*parts, decoder.close()]))
         rest = [c for c in block.schema.names if c != "ids"]
         yield pa.RecordBatch.from_arrays([block.column(c) for c in rest] + [pa.array(out, pa.binary())], names=[*rest, "decoded"])
 
