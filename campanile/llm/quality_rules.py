@@ -75,11 +75,13 @@ def base_features(docs: DataFrame, *keep: str) -> DataFrame:
     rows = rows.withColumn("trimmed", trimmed)
     rows = rows.withColumn("words", F.when(F.col("trimmed") == "", F.array().cast("array<string>")).otherwise(F.split("trimmed", SPACE + "+"))).drop("trimmed")
     rows = with_repeated_words(rows).withColumn("lines", _lines(F.col("text")))
-    rows = rows.select(
-        *keep, "text", F.size("words").cast("bigint").alias("n_words"),
+    counted = F.struct(
+        F.size("words").cast("bigint").alias("n_words"),
         (F.length("text") - F.regexp_count("text", F.lit(SPACE))).cast("bigint").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"), "n_repeat_words")
+    # Later filters on the features don't cross a generator; below it, Spark would put the whole chain of steps in their place.
+    rows = rows.select(*keep, "text", F.explode(F.array(counted)).alias("counted")).select(*keep, "text", "counted.*")
     return rows.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words"))
 
 
