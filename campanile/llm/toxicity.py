@@ -32,8 +32,10 @@ from campanile.llm.words import Words, batches, mix, split_words
 MAX_LABELLED = 20_000
 #: Tokens of the model: those with the clearest difference.
 MAX_TOKENS = 1 << 16
-#: Weight of the prior, in documents.
-PRIOR = 10.0
+#: Weight of the prior, in documents; with fewer labelled documents than ``ENOUGH`` it is in proportion to them.
+PRIOR, ENOUGH = 10.0, 500
+#: A token is in that many labelled documents at least, or in one less if there are fewer than ``ENOUGH``.
+MIN_DOCUMENTS = 3
 #: Taken from every token's score.
 DRIFT = 1.0
 #: A segment is a passage if clean text of the same length reaches its score with less than this probability.
@@ -97,13 +99,14 @@ def _count(blocks, known: np.ndarray | None):
             names=["token", "toxic", "clean"])
 
 
-def _clearest(rows: DataFrame, known: np.ndarray | None, base: float, bound: int) -> tuple[np.ndarray, np.ndarray]:
+def _clearest(rows: DataFrame, known: np.ndarray | None, base: float, bound: int, labelled: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``bound`` tokens with the clearest difference and their log-odds; ``base`` is the toxic share."""
+    prior, least = PRIOR * min(1.0, labelled / ENOUGH), MIN_DOCUMENTS - (labelled < ENOUGH)
     counts = rows.mapInArrow(lambda b: _count(b, known), "token bigint, toxic bigint, clean bigint").groupBy("token").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    one, other = F.col("toxic") + PRIOR * base, F.col("clean") + PRIOR * (1 - base)
+    one, other = F.col("toxic") + prior * base, F.col("clean") + prior * (1 - base)
     odds = F.log(one / other) - float(np.log(base / (1 - base)))
-    found = counts.filter("toxic + clean >= 3").select("token", odds.alias("odds"), F.abs(odds / F.sqrt(1 / one + 1 / other)).alias("z"))
+    found = counts.filter(f"toxic + clean >= {least}").select("token", odds.alias("odds"), F.abs(odds / F.sqrt(1 / one + 1 / other)).alias("z"))
     top = found.filter("z >= 2").orderBy(F.desc("z"), "token").limit(bound).toPandas()
     return top["token"].to_numpy(np.int64).astype(np.uint64), top["odds"].to_numpy(float)
 
@@ -112,21 +115,21 @@ def segments(cumulative: np.ndarray, positive: np.ndarray) -> list[tuple[int, in
     """All maximal-scoring segments ``(first, last, score)``, in one pass over the positive places.
 
     ``cumulative[i]`` is the sum of the scores before place ``i``.  Candidates are kept in order; a new
-    one is joined with the nearest earlier one that starts lower, if that also ends lower.
+    one is joined with the nearest earlier one that starts lower, if that also ends lower.  Each candidate keeps the place of
+    the nearest earlier one that starts lower than itself, so none between is looked at again and time is linear.
     """
-    found: list[tuple[int, int, float, float]] = []
+    found: list[tuple[int, int, float, float, int]] = []
     for i in positive:
         first, low, high = int(i), float(cumulative[i]), float(cumulative[i + 1])
-        while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= low:
-                j -= 1
-            if j < 0 or found[j][3] >= high:
-                break
-            first, low = found[j][0], found[j][2]
+        j = len(found) - 1
+        while j >= 0 and found[j][2] >= low:
+            j = found[j][4]
+        while j >= 0 and found[j][3] < high:
+            first, low, before = found[j][0], found[j][2], found[j][4]
             del found[j:]
-        found.append((first, int(i), low, high))
-    return [(a, b, high - low) for a, b, low, high in found]
+            j = before
+        found.append((first, int(i), low, high, j))
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 def _scores(words: Words, model: ToxicityModel) -> np.ndarray:
@@ -228,8 +231,8 @@ def fit(labelled: DataFrame, max_labelled: int = MAX_LABELLED, max_tokens: int =
     text_label = rows.select("text", "toxic")
     early = rows.filter(fold != CALIBRATION).select("text", "toxic")
     base = toxic / (toxic + clean)
-    words = _clearest(early, None, base, max_tokens)
-    prefixes = _clearest(early, words[0], base, max_tokens)
+    words = _clearest(early, None, base, max_tokens, toxic + clean)
+    prefixes = _clearest(early, words[0], base, max_tokens, toxic + clean)
     tokens, odds = np.concatenate([words[0], prefixes[0]]), np.concatenate([words[1], prefixes[1]])
     order = np.argsort(tokens)
     model.tokens, model.odds = tokens[order], odds[order]
@@ -278,3 +281,23 @@ def score(docs: DataFrame, model: ToxicityModel, *keep: str) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != "text")
     extra = "score double, predicted int, passages array<struct<first_word:bigint,last_word:bigint,score:double,p_value:double>>"
     return frame.mapInArrow(lambda b: _score(b, shared.value), f"{schema}, {extra}")
+
+
+def _clean(blocks, model: ToxicityModel):
+    for block in batches(blocks):
+        counts, found, _ = _scan(block, model)
+        total = np.array([_evidence(n, f, model)[1] for n, f in zip(counts, found)])
+        score = 1 / (1 + np.exp(-np.clip(model.curve[0] + model.curve[1] * total, -30, 30)))
+        yield block.filter(pa.array(score < 0.5))
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows of ``docs(text, ...)`` that :func:`score` doesn't predict toxic, with all their columns.
+
+    Every text goes to the Python worker once and comes back once; no passages do.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)
+    frame = docs.withColumn("text", F.col("text").cast("string"))
+    return frame.mapInArrow(lambda b: _clean(b, shared.value), frame.schema)

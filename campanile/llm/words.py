@@ -39,7 +39,8 @@ _TABLES: dict[int, np.ndarray] = {}
 def _powers(base: int, count: int) -> np.ndarray:
     """``base ** 0 .. count - 1`` modulo 2**64."""
     if len(_TABLES.get(base, ())) < count:
-        steps = np.full(max(count, 1 << 21), base, np.uint64)
+        # The next power of two: a table is as large as the largest batch met so far.
+        steps = np.full(max(1 << 12, 1 << (count - 1).bit_length()), base, np.uint64)
         steps[0] = 1
         _TABLES[base] = np.cumprod(steps, dtype=np.uint64)
     return _TABLES[base]
