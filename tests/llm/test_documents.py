@@ -6,6 +6,7 @@ import collections
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -291,3 +292,64 @@ def test_license_scan_of_spellings_lines_and_whole_texts(spark):
     assert got == sorted([(1, "MIT", ["MIT"]), (2, "Apache-2.0", ["Apache-2.0"]), (3, None, ["MIT", "Proprietary"]), (4, None, []), (4, None, []),
                           (5, None, []), (6, None, []), (None, "Proprietary", ["Proprietary"])], key=repr)
     assert license_scan.scan(frame(spark, [])).count() == 0
+
+
+def test_quality_verdicts_may_be_filtered(spark):
+    judged = quality_rules.judge(frame(spark))
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    for condition in ("kept", "NOT base_failed", "n_words > 5"):
+        assert size(judged.filter(condition)) < 2 * size(judged), condition
+    whole = judged.select("doc_id", "kept", "base_failed").collect()
+    assert judged.filter("kept").count() == sum(r.kept for r in whole)
+    assert judged.filter("NOT base_failed").count() == sum(not r.base_failed for r in whole)
+
+
+def test_segments_take_linear_time():
+    """Hits with as much neutral text between them: each candidate starts lower than all before it."""
+    def looks(n):
+        scores = np.tile([1.0, -2.0], n)
+        places = CountingList(np.concatenate([[0.0], np.cumsum(scores)]))
+        assert len(toxicity.segments(places, np.arange(0, 2 * n, 2))) == n
+        return places.seen
+
+    class CountingList(list):
+        seen = 0
+
+        def __getitem__(self, i):
+            self.seen += 1
+            return list.__getitem__(self, i)
+
+    assert looks(4000) == 2 * looks(2000)
+    start = time.process_time()
+    rising = np.tile([-1.0, 0.5], 50_000)
+    assert len(toxicity.segments(np.concatenate([[0.0], np.cumsum(rising)]), np.arange(1, 100_000, 2))) == 50_000
+    up = np.tile([1.0, -0.5], 50_000)
+    assert toxicity.segments(np.concatenate([[0.0], np.cumsum(up)]), np.arange(0, 100_000, 2)) == [(0, 99_998, 25_000.5)]
+    assert time.process_time() - start < 5
+
+
+def test_rows_without_toxic_ones_are_those_that_score_clean(spark):
+    rows = [(i, f"nice day number{i % 5} " + ("vile scum slur " * 3 if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(80)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(labelled)
+    docs = spark.createDataFrame([*[(i, t, "x") for i, t, _ in rows], (None, None, "x"), (1, "", "y")], "doc_id bigint, text string, score string")
+    clean = toxicity.score(docs, model, "doc_id").filter("predicted = 0").count()
+    kept = toxicity.without_toxic(docs, model)
+    assert kept.columns == docs.columns and kept.count() == clean == 62
+
+
+def test_the_decoder_holds_back_unfinished_characters():
+    token = bpe.tokens_by_rank(RANKS)
+    rng = random.Random(1)
+    alphabet = [0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x98, 0x80, 0x41, 0xED, 0xA0]
+    for _ in range(400):
+        data = bytes(rng.choice([rng.randrange(256), *alphabet]) for _ in range(rng.randint(0, 12)))
+        ids = [RANKS[data[i:i + 1]] for i in range(len(data))]
+        machine, decoder = bpe.Utf8Stream(), bpe.StreamDecoder(token)
+        text, given = "", b""
+        for i in range(0, len(ids), 3):
+            text += machine.feed(data[i:i + 3])
+            given += decoder.feed(ids[i:i + 3])
+            assert given == data[:len(given)] and len(data[:i + 3]) - len(given) < 4
+        assert text + machine.close() == data.decode("utf-8", "replace") == "".join(bpe.decode_stream(ids, token))
+        assert given + decoder.close() == data

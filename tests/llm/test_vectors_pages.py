@@ -100,3 +100,31 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
 
 def test_each_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.all_queries()) == list(range(1, 14))
+
+
+def pipeline_rows(spark, rows):
+    return spark.createDataFrame([(*r, "en", "s", 1, "clash") for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, print string")
+
+
+def test_two_texts_of_one_id_are_judged_apart(spark):
+    a, b, c = ("word%d " * 12 % tuple(range(k, k + 12)) for k in (0, 100, 200))
+    docs = pipeline_rows(spark, [(1, a), (5, a), (5, b), (7, c), (7, c), (9, None), (9, ""), (None, a), (3, b + "more")])
+    kept = corpus_pipeline.one_of_each_group(spark, docs, FOLDER)
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, a), (3, b + "more"), (7, c), (9, None), (None, a)], key=repr) or got == sorted(
+        [(1, a), (3, b + "more"), (7, c), (9, ""), (None, a)], key=repr)
+
+
+def test_pipeline_stages_on_nulls_empty_tables_and_clashing_columns(spark):
+    long = " ".join(f"w{i % 7000}x{i}" for i in range(30_000))
+    docs = pipeline_rows(spark, [(1, None), (2, ""), (2, ""), (None, "a b"), (3, long), (4, "plain words " * 3)])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0, name
+        out = stage(spark, docs, FOLDER)
+        texts = [r.text for r in out.collect()] if "text" in out.columns else None
+        assert name in ("toxicity", "mixing sources", "byte-level BPE") or long in texts, name
+        if name == "toxicity":
+            assert len(texts) == 6
+        if name == "byte-level BPE":
+            assert out.filter("intact").count() == 6
