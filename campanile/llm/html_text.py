@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +29,11 @@ MAX_LABELLED = 5_000
 SMOOTHING, NAMED = 1.0, 20.0
 
 # Element and attribute names of HTML.
-RAW = "script style noscript template svg math iframe object embed canvas audio video select button textarea title head"
+RAW = "script style noscript iframe textarea title noembed noframes xmp"
+#: Elements whose words aren't shown as text.  One that is never closed is taken as empty; controls then end at the next block.
+HIDDEN = frozenset("template svg math object canvas audio video select button datalist".split())
+CONTROLS = frozenset("select button datalist".split())
+IN_HEAD = frozenset("base link meta template".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -43,10 +48,11 @@ HINTS = frozenset(
 CONTENT_HINTS = frozenset("article content entry main post story body text".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=raw)\s*>|(?=<body\b)|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW.split()) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*+>?|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>?", re.S | re.I)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
+_CLOSED = re.compile("</(" + "|".join(sorted(HIDDEN)) + r")\b", re.I)
 
 
 def _section(name: str, rest: str, nested: bool = False) -> str | None:
@@ -89,15 +95,28 @@ def events(page: str):
     Tags have size 1 and no text; runs of text have their number of words.  ``inside`` tells whether the page
     itself marks the place as content.
     """
-    # Open elements: name, section kind in force, whether in a content element, whether in boilerplate inside it.
+    # Open elements: name, section kind in force, whether in a content element, whether hidden or in boilerplate inside it.
     open_: list[tuple[str, str, bool, bool]] = []
+    # How many elements of each name are open, so that none is looked for in vain.
+    number: Counter[str] = Counter()
+    last_end = {found[1].lower(): found.start() for found in _CLOSED.finditer(page)}
+    loose: list[int] = []  # places of controls that are never closed
     at = 0
     out = []
 
+    def close(down_to: int) -> None:
+        while loose and loose[-1] >= down_to:
+            loose.pop()
+        for name, *_ in open_[down_to:]:
+            number[name] -= 1
+        del open_[down_to:]
+
     def text(piece: str) -> None:
+        if open_ and open_[-1][0] == "head" and piece.strip():
+            close(len(open_) - 1)  # words end a head
         words = html.unescape(piece) if "&" in piece else piece
         _, kind, content, barred = open_[-1] if open_ else ("", "body", False, False)
-        if content and barred:
+        if barred:
             out.append(("barred", 0, None, False, False))
         else:
             out.append((f"word {kind}", len(words.split()), words, False, content))
@@ -110,27 +129,33 @@ def events(page: str):
         if not name:
             continue
         name = name.lower()
+        if not found["end"] and open_ and open_[-1][0] == "head" and name not in IN_HEAD:
+            close(len(open_) - 1)  # and so does an element that can't be in it
+        if loose and not found["end"] and name in BLOCKS and name != "option":
+            close(loose[0])
         known = name if name in BLOCKS or name in VOID else "inline"
         _, kind, content, barred = open_[-1] if open_ else ("", "body", False, False)
-        if content and barred:
+        if barred:
             out.append(("barred", 0, None, name in BLOCKS, False))
         else:
             out.append((f"{found['end']}{known}" + " in content" * content, 1, " " if name == "br" else None, name in BLOCKS, content))
         if found["end"]:
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == name:
-                    del open_[i:]
-                    break
-        elif name not in VOID and not found["rest"].rstrip().endswith("/"):
+            if number[name]:
+                close(next(i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name))
+        elif name not in VOID and not found["rest"].rstrip().endswith("/") and (
+                name not in HIDDEN or name in CONTROLS or last_end.get(name, -1) > at):
             if name in ("p", "li") and open_ and open_[-1][0] == name:
-                open_.pop()  # these end where the next one begins
+                close(len(open_) - 1)  # these end where the next one begins
                 _, kind, content, barred = open_[-1] if open_ else ("", "body", False, False)
-            own = _section(name, found["rest"], kind.startswith("hint:") or any(o[0] == "article" for o in open_))
+            own = _section(name, found["rest"], kind.startswith("hint:") or number["article"] > 0)
             bad = own is not None and (own in BOILERPLATE or own.startswith("hint:"))
             inner = own if own and (bad or own in CONTENT or own.startswith("content:") or not kind.startswith("hint:")) else kind
             if own and not bad and own not in CONTENT and (kind in BOILERPLATE or kind in CONTENT):
                 inner = kind  # a list or section inside an article or menu is part of it
-            open_.append((name, inner, content or own in CONTENT, barred or (content and bad)))
+            open_.append((name, inner, content or own in CONTENT, barred or (content and bad) or name in HIDDEN or name == "head"))
+            number[name] += 1
+            if name in CONTROLS and last_end.get(name, -1) <= at:
+                loose.append(len(open_) - 1)
     if at < len(page):
         text(page[at:])
     return out
