@@ -32,6 +32,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes that are hashed at once, or a single longer word.
+CHUNK = 1 << 17
 _INVERSE = pow(int(_BASE), -1, 1 << 64)
 _TABLES: dict[int, np.ndarray] = {}
 
@@ -64,15 +66,25 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self, start: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of each word, or of each given byte range without white space."""
+        """A 64-bit hash of each word, or of each given byte range without white space, in ascending order."""
         start, end = (self.start if start is None else start), (self.end if end is None else end)
-        if not len(start):
-            return np.zeros(0, np.uint64)
-        # Weights follow the place in the buffer; the power of the start is divided out again.
-        terms = (self.data + _ONE) * _powers(int(_BASE), len(self.data))[: len(self.data)]
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-        back = _powers(_INVERSE, len(self.data))[start]
-        return mix((total[end] - total[start]) * back ^ (end - start).astype(np.uint64))
+        out = np.empty(len(start), np.uint64)
+        at = 0
+        while at < len(start):
+            # A run of words of about ``CHUNK`` bytes at a time, so long texts don't need long tables.
+            low = start[at]
+            upto = max(at + 1, int(np.searchsorted(end, low + CHUNK, "right")))
+            terms = self.data[low:end[upto - 1]].astype(np.uint64)
+            terms += _ONE
+            # Weights follow the place in the run; the power of the start is divided out again.
+            terms *= _powers(int(_BASE), len(terms))[: len(terms)]
+            total = np.zeros(len(terms) + 1, np.uint64)
+            np.cumsum(terms, out=total[1:])
+            first, last = start[at:upto] - low, end[at:upto] - low
+            back = _powers(_INVERSE, len(terms))[first]
+            out[at:upto] = mix((total[last] - total[first]) * back ^ (last - first).astype(np.uint64))
+            at = upto
+        return out
 
 
 def split_words(texts: list[str | None], lower: bool = False) -> Words:
