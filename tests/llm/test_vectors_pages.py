@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import numpy as np
 import pytest
@@ -128,3 +129,57 @@ def test_pipeline_stages_on_nulls_empty_tables_and_clashing_columns(spark):
             assert len(texts) == 6
         if name == "byte-level BPE":
             assert out.filter("intact").count() == 6
+
+
+AROUND = "<html><body><nav><a>Menu one</a></nav><article><p>First words of text here</p>{}<p>More words after that thing</p></article><footer>foot</footer>"
+
+
+@pytest.mark.parametrize("markup", [
+    '<embed src="a">', "<svg/>", "<svg><text>no</text></svg>", "<math/>", "<button>Go", "<button>Go</button>", "<select><option>x", "<canvas>",
+    "<audio controls>", "<video src=x>", "<video>no video</video>", "<object data=y>", "<iframe src=z></iframe>", "<template><p>no</p></template>"])
+def test_no_element_takes_the_rest_of_a_page_along(markup):
+    assert html_text.main_text(AROUND.format(markup), {}) == html_text.main_text(AROUND.format(""), {}) == (
+        "First words of text here\n\nMore words after that thing")
+
+
+@pytest.mark.parametrize("page", [
+    "<head><title>T</title><article><p>Some words are here now</p></article>", "<head><meta x><p>Some words are here now",
+    "<head><title>t</title><style>p{}</style></head><body>Some words are here now", "<head>Some words are here now"])
+def test_a_head_ends_where_it_must(page):
+    assert html_text.main_text(page, {}) == "Some words are here now"
+
+
+@pytest.mark.parametrize("piece", ["<div>x ", "<div>x</span> ", "<video>x ", "<article>x ", "<button>x "])
+def test_extraction_takes_linear_time(piece):
+    def seconds(n):
+        start = time.process_time()
+        html_text.main_text(piece * n, {})
+        return time.process_time() - start
+
+    assert seconds(40_000) < 12 * max(seconds(10_000), 0.02)
+
+
+def brute_region(scores):
+    """The best contiguous region over all pairs of places; of equal ones the one that ends first, then starts last."""
+    best, at = 0.0, (0, 0)
+    for j in range(1, len(scores) + 1):
+        for i in range(j - 1, -1, -1):
+            if sum(scores[i:j]) > best + 1e-9:
+                best, at = sum(scores[i:j]), (i, j)
+    return best, at
+
+
+def test_the_region_is_the_best_of_all(monkeypatch):
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        scores = rng.integers(-3, 4, 12).tolist()
+        found = [(f"word {i}", 1, f"w{i} ", False, False) for i in range(12)]
+        monkeypatch.setattr(html_text, "events", lambda page, found=found: found)
+        weights = {f"word {i}": float(s) for i, s in enumerate(scores)}
+        best, _ = brute_region(scores)
+        got = html_text.main_text("x", weights).split()
+        places = [int(w[1:]) for w in got]
+        # Words that score below zero are left out of the text, not of the region.
+        assert (not places) == (best <= 0)
+        if places:
+            assert sum(scores[places[0]:places[-1] + 1]) == best
