@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable, Iterator
 from struct import pack
+from threading import Timer
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from campanile.llm.words import batches
 MAX_STATES, MAX_PIECES, MAX_PAIRS = 50_000, 150_000, 150_000
 #: A move is made when it was wanted so many times before.
 OFTEN = 4
+#: Bytes of a rest that is settled from its end, and the mark of a place that isn't decided yet.
+SHORT, OPEN = 128, object()
 #: Ids that the decoder takes at once.
 CHUNK = 4096
 
@@ -62,21 +65,19 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
+        self._longest = max(map(len, ranks), default=0)
         self._never = len(ranks) + max(ranks.values(), default=0)
-        # The tokens as a trie of numbered nodes, 0 the root: the token that ends at each, and whether one goes on.
-        self._child: dict[int, int] = {}
-        self._ending, self._goes_on = [-1], bytearray(1)
+        # The tokens as a trie: per byte the token that ends there, or -1, and the nodes below, if any.
+        self._root: dict[int, tuple[int, dict | None]] = {}
         for token, rank in ranks.items():
-            node = 0
-            for byte in token:
-                self._goes_on[node] = 1
-                below = self._child.get(node << 8 | byte)
+            node = self._root
+            for byte in token[:-1]:
+                ending, below = node.get(byte, (-1, None))
                 if below is None:
-                    below = self._child[node << 8 | byte] = len(self._ending)
-                    self._ending.append(-1)
-                    self._goes_on.append(0)
+                    below = {}
+                    node[byte] = ending, below
                 node = below
-            self._ending[node] = rank
+            node[token[-1]] = rank, node.get(token[-1], (-1, None))[1]
         self._pairs: dict[int, bool] = {}
         self._spines: dict[int, tuple[list, list]] = {}
         self._reset()
@@ -90,15 +91,15 @@ class Transducer:
         self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
         self._ends: dict[int, tuple[int, ...]] = {}
         self._met: dict[int, int] = {}
-        self._lives: dict[int, list[tuple[int, int]]] = {}
+        self._lives: dict[int, list[tuple[int, dict]]] = {}
 
-    def _live(self, state: int) -> list[tuple[int, int]]:
-        """Places of a state where a token may still begin, each with its node in the trie."""
+    def _live(self, state: int) -> list[tuple[int, dict]]:
+        """Places of a state where a token may still begin, each with its nodes in the trie."""
         live = self._lives.get(state)
         if live is None:
             pending, ends = self._states[state][1], (self._states[state][0], *self._places[state])
-            live = [(p, self._node(pending[p:])) for p in range(len(pending) + 1) if ends[p] is not None]
-            live = self._lives[state] = [(p, node) for p, node in live if node >= 0]
+            live = [(p, self._below(pending[p:])) for p in range(len(pending) + 1) if ends[p] is not None]
+            live = self._lives[state] = [(p, node) for p, node in live if node is not None]
         return live
 
     def _edges(self, token: int) -> tuple[list, list]:
@@ -144,20 +145,15 @@ class Transducer:
             self._pairs[left << 32 | right] = known
         return known
 
-    def _node(self, part: bytes) -> int:
-        """The trie's node that ``part`` leads to; -1 if no token begins with it."""
-        node = 0
+    def _below(self, part: bytes) -> dict | None:
+        """The nodes below ``part``; None if no token begins with it and goes on."""
+        node = self._root
         for byte in part:
-            node = self._child.get(node << 8 | byte, -1)
-            if node < 0:
+            node = node.get(byte, (-1, None))[1]
+            if node is None:
                 break
         return node
 
-    def _begins(self, part: bytes) -> bool:
-        """Whether a token begins with ``part`` and goes on."""
-        node = self._node(part)
-        return node >= 0 and self._goes_on[node] == 1
-
     def _chain(self, ends: tuple, place: int) -> list[int]:
         """Tokens from the first pending byte to ``place``."""
         out = []
@@ -180,8 +176,8 @@ class Transducer:
                     break
         ends = (*ends, ending)
         emitted: tuple[int, ...] = ()
-        if not self._begins(read):  # no token can begin at the first place any more
-            live = [p for p in range(1, size) if ends[p - 1] is not None and self._begins(read[p:])]
+        if self._below(read) is None:  # no token can begin at the first place any more
+            live = [p for p in range(1, size) if ends[p - 1] is not None and self._below(read[p:]) is not None]
             if ending is not None:
                 live.append(size)
             chains = {p: self._chain(ends, p) for p in live}
@@ -220,30 +216,54 @@ class Transducer:
             tokens = self._ends[state] = tuple(self._chain(ends, len(ends)))
         return tokens
 
+    def _settle(self, read: bytes, ends: list, end: int):
+        """The token that ends at ``end``, the longest that may follow the one before it; decides what it needs and no more."""
+        ranks, pairs = self.ranks, self._pairs
+        for start in range(max(0, end - self._longest), end):
+            right = ranks.get(read[start:end])
+            if right is not None:
+                before = ends[start]
+                if before is OPEN:
+                    before = self._settle(read, ends, start)
+                if before is not None:
+                    good = pairs.get(before << 32 | right) if before >= 0 else None
+                    if self._neighbours(before, right) if good is None else good:
+                        ends[end] = right
+                        return right
+        ends[end] = None
+        return None
+
     def _run(self, state: int, rest: bytes) -> list[int]:
-        """Tokens of the pending bytes and ``rest``, by following all live places at once, without new states."""
+        """Tokens of the pending bytes and ``rest``, without new states.
+
+        A short rest is settled from its end, so most places are never looked at; through a long one all live
+        places are followed at once.
+        """
         last, pending = self._states[state]
+        if len(rest) <= SHORT:
+            read, ends = pending + rest, [last, *self._places[state], *[OPEN] * len(rest)]
+            self._settle(read, ends, len(read))
+            return self._chain(ends[1:], len(read))
         ends = [last, *self._places[state]]
-        child, token_at, goes_on, pairs = self._child, self._ending, self._goes_on, self._pairs
-        # A live place is a number and its node in the trie, which moves by one look-up a byte.
+        pairs, root = self._pairs, self._root
+        # A live place is a number and the nodes that may follow, and moves by one look-up a byte.
         live = self._live(state)
         for end, byte in enumerate(rest, len(pending) + 1):
             ending, still = None, []
             for start, node in live:
-                node = child.get(node << 8 | byte)
-                if node is None:
+                hit = node.get(byte)
+                if hit is None:
                     continue
-                if ending is None:
-                    right = token_at[node]
-                    if right >= 0:
-                        before = ends[start]
-                        good = pairs.get(before << 32 | right) if before >= 0 else None
-                        if self._neighbours(before, right) if good is None else good:
-                            ending = right
-                if goes_on[node]:
-                    still.append((start, node))
+                right, below = hit
+                if right >= 0 and ending is None:
+                    before = ends[start]
+                    good = pairs.get(before << 32 | right) if before >= 0 else None
+                    if self._neighbours(before, right) if good is None else good:
+                        ending = right
+                if below is not None:
+                    still.append((start, below))
             if ending is not None:
-                still.append((end, 0))
+                still.append((end, root))
             ends.append(ending)
             live = still
         return self._chain(tuple(ends[1:]), len(ends) - 1)
@@ -418,12 +438,46 @@ def decode_stream(ids: Iterable[int], token: list[bytes]) -> Iterator[str]:
         yield text
 
 
+class Kept:
+    """One object that a Python worker keeps between tasks, until none has used it for ``SECONDS``.
+
+    Workers are used again by whatever runs next, so what they keep would add to its memory.
+    """
+
+    SECONDS = 5.0
+
+    def __init__(self):
+        self.key, self.value, self.timer = None, None, None
+
+    def take(self, key, make):
+        """The object made for ``key``, here until it is put back."""
+        if self.timer is not None:
+            self.timer.cancel()
+        value = self.value if self.key == key else None
+        self.key = self.value = None
+        return make() if value is None else value
+
+    def put(self, key, value) -> None:
+        self.key, self.value = key, value
+        self.timer = Timer(self.SECONDS, self.drop)
+        self.timer.daemon = True
+        self.timer.start()
+
+    def drop(self) -> None:
+        self.key = self.value = None
+
+
+_KEPT = Kept()
+
+
 def _encode(blocks, shared, pattern: str):
-    encoder = Encoder(shared.value, pattern)  # dropped with its tables at the end of the task
+    key = len(shared.value), pattern, hash(frozenset(shared.value.items()))
+    encoder = _KEPT.take(key, lambda: Encoder(shared.value, pattern))
     for block in batches(blocks):
         ids = [encoder.encode(t or "") for t in block.column("text").to_pylist()]
         rest = [c for c in block.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays([block.column(c) for c in rest] + [pa.array(ids, pa.binary())], names=[*rest, "ids"])
+    _KEPT.put(key, encoder)
 
 
 def _decode(blocks, shared):
