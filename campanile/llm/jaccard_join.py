@@ -14,8 +14,8 @@
 4. *Block skipping.*  A centre's list is cut into blocks by size, overlap and ``out``.  The
    bound over whole blocks tells which blocks can meet at all; the others are skipped.
 
-Equal sets are one set from the start.  Everything is joined and summed by key; no list,
-component or group is gathered in one task, and the driver only counts.
+Equal sets are one set from the start; a batch of texts sends a set once.  Everything is joined and summed by key; no
+list, component or group of copies is gathered in one task, and the driver only counts.
 """
 
 from __future__ import annotations
@@ -35,9 +35,10 @@ GRAMS_PER_PART = 4_000_000
 #: Grams that a task gathers before it sends them out.
 GRAMS_PER_BATCH = 1_000_000
 
-_SENT = "part int, doc_id binary, set binary, check binary, n binary, own binary, runs binary, grams binary, others binary"
-_REPLY = "part int, doc_id binary, set binary, check binary, n binary, own binary"
-_KNOWN = "doc_id bigint, set bigint, check bigint, n bigint, repeated bigint"
+_SENT = "part int, set binary, number binary, runs binary, grams binary, others binary"
+_REPLY = "part int, set binary, number binary"
+_KNOWN = "doc_id bigint, set bigint, check bigint, n bigint"
+_REPEATED = "set bigint, repeated bigint"
 
 
 def _sets_of(block: pa.RecordBatch, size: int):
@@ -55,13 +56,20 @@ def _sets_of(block: pa.RecordBatch, size: int):
     return total, n, prints[0], prints[1]
 
 
+def _known(blocks, size: int):
+    """Each document with its set, as told by two fingerprints, and the set's size."""
+    for block in batches(blocks):
+        _, n, sets, checks = _sets_of(block, size)
+        yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(sets), pa.array(checks), pa.array(n)], names=["doc_id", "set", "check", "n"])
+
+
 def _send(blocks, size: int, parts: int):
     """Pack the distinct grams of a few thousand texts by hash range; a gram with one owner names it."""
     held: list[tuple] = []
 
     def flush():
-        ids, n, sets, checks = (np.concatenate([h[k] for h in held]) for k in range(4))
-        grams = np.concatenate([h[4] for h in held])
+        n, sets = (np.concatenate([h[k] for h in held]) for k in range(2))
+        grams = np.concatenate([h[2] for h in held])
         # Equal sets of the batch are sent once.
         _, first = np.unique(sets, return_index=True)
         once = np.zeros(len(sets), bool)
@@ -76,12 +84,12 @@ def _send(blocks, size: int, parts: int):
         many = ~new
         many[:-1] |= many[1:].copy()  # every gram that a second set of this batch has
         local = np.bincount(owner[many], minlength=len(sets))
-        # What is known of the documents goes to the part that gathers their sets.
+        # The sets' numbers go to the parts that sum them up, once a batch however many documents have the set.
         to = (mix(sets.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
         rows = []
-        for k in np.unique(to):
-            here = to == k
-            rows.append((int(k), *(c[here].tobytes() for c in (ids, sets, checks, n, local.astype(np.int64))), None, None, None))
+        for k in np.unique(to[first]):
+            here = first[to[first] == k]
+            rows.append((int(k), sets[here].tobytes(), local[here].astype(np.int64).tobytes(), None, None, None))
         grams, owner, single = grams[new], owner[new], ~many[new]
         # Hash ranges of equal width: the high bits name the part, the rest goes in 32 bits.
         part = ((grams >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -95,19 +103,18 @@ def _send(blocks, size: int, parts: int):
             order = np.argsort(own[alone], kind="stable")
             by = own[alone][order]
             start = np.flatnonzero(np.diff(by, prepend=-1))
-            rows.append((k, None, None, None, None, sets[by[start]].tobytes(),
-                         np.diff(np.append(start, len(by))).astype(np.uint32).tobytes(),
+            rows.append((k, sets[by[start]].tobytes(), None, np.diff(np.append(start, len(by))).astype(np.uint32).tobytes(),
                          low[alone][order].tobytes(), low[~alone].tobytes()))
         held.clear()
         columns = list(zip(*rows))
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32())] + [pa.array(c, pa.binary()) for c in columns[1:]],
-            names=["part", "doc_id", "set", "check", "n", "own", "runs", "grams", "others"])
+            names=["part", "set", "number", "runs", "grams", "others"])
 
     gathered = 0
     for block in batches(blocks):
-        grams, n, sets, checks = _sets_of(block, size)
-        held.append((block.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), n, sets, checks, grams))
+        grams, n, sets, _ = _sets_of(block, size)
+        held.append((n, sets, grams))
         gathered += len(grams)
         if gathered >= GRAMS_PER_BATCH:
             yield flush()
@@ -118,11 +125,10 @@ def _send(blocks, size: int, parts: int):
 
 def _reply(key, table, parts: int):
     """For one hash range: how many of each set's grams another set has as well, packed by set."""
-    sent = [row for row in table.to_pylist() if row["doc_id"] is None]
-    out = [[int(row["part"]), *(row[c] for c in ("doc_id", "set", "check", "n", "own"))]
-           for row in table.to_pylist() if row["doc_id"] is not None]
+    sent = [row for row in table.to_pylist() if row["number"] is None]
+    out = [[int(row["part"]), row["set"], row["number"]] for row in table.to_pylist() if row["number"] is not None]
     if sent:
-        sets = np.concatenate([np.frombuffer(row["own"], np.int64) for row in sent])
+        sets = np.concatenate([np.frombuffer(row["set"], np.int64) for row in sent])
         runs = np.concatenate([np.frombuffer(row["runs"], np.uint32) for row in sent])
         grams = np.concatenate([np.frombuffer(row["grams"], np.uint32) for row in sent])
         shared = np.concatenate([np.frombuffer(row["others"], np.uint32) for row in sent])
@@ -142,24 +148,17 @@ def _reply(key, table, parts: int):
         of, number, to = of[order], number[order], to[order]
         start = np.flatnonzero(np.diff(to, prepend=-1))
         for i, j in zip(start, np.append(start[1:], len(to))):
-            out.append([int(to[i]), None, of[i:j].tobytes(), None, None, number[i:j].astype(np.int64).tobytes()])
-    return pa.table({name: pa.array([r[i] for r in out], pa.binary() if i else pa.int32())
-                     for i, name in enumerate(("part", "doc_id", "set", "check", "n", "own"))})
+            out.append([int(to[i]), of[i:j].tobytes(), number[i:j].astype(np.int64).tobytes()])
+    return pa.table({name: pa.array([r[i] for r in out], pa.binary() if i else pa.int32()) for i, name in enumerate(("part", "set", "number"))})
 
 
 def _gather(key, table):
-    """One row per document of the part's sets, with its set's number of repeated grams."""
-    known, sets, number = [np.zeros((4, 0), np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for row in table.to_pylist():
-        own = np.frombuffer(row["own"], np.int64)
-        sets.append(np.frombuffer(row["set"], np.int64))
-        number.append(own)
-        if row["doc_id"] is not None:
-            known.append(np.stack([np.frombuffer(row[c], np.int64) for c in ("doc_id", "set", "check", "n")]))
-    doc_id, of, check, n = np.concatenate(known, axis=1)
+    """One row per set of the part, with its number of repeated grams."""
+    sets, number = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for column, out in (("set", sets), ("number", number)):
+        out.extend(np.frombuffer(packed, np.int64) for packed in table.column(column).to_pylist())
     every, place = np.unique(np.concatenate(sets), return_inverse=True)
-    total = np.bincount(place, np.concatenate(number), minlength=len(every)).astype(np.int64)
-    return pa.table({"doc_id": doc_id, "set": of, "check": check, "n": n, "repeated": total[np.searchsorted(every, of)]})
+    return pa.table({"set": every, "repeated": np.bincount(place, np.concatenate(number), minlength=len(every)).astype(np.int64)})
 
 
 def _load(blocks, size: int):
@@ -265,11 +264,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-length // (4 * GRAMS_PER_PART)))
     sent = some.mapInArrow(lambda b: _send(b, size, parts), _SENT)
     replies = sent.groupBy("part").applyInArrow(lambda key, table: _reply(key, table, parts), _REPLY)
-    known = stored(replies.groupBy("part").applyInArrow(_gather, _KNOWN), "known")
+    repeated = replies.groupBy("part").applyInArrow(_gather, _REPEATED)
+    # Documents are rows from the start, so however many have one set, no task gathers them.
+    known = stored(some.mapInArrow(lambda b: _known(b, size), _KNOWN), "known")
     classes = known.filter("n > 0").groupBy("set").agg(
-        F.max("n").alias("n"), F.max("repeated").alias("repeated"), F.min("doc_id").alias("doc_id"),
-        F.min("check").alias("check"), F.max("check").alias("other"))
-    classes = stored(classes, "classes")
+        F.max("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("check").alias("check"), F.max("check").alias("other"))
+    classes = stored(classes.join(repeated, "set"), "classes")
     if not classes.filter("check <> other").isEmpty():
         raise ValueError("two different gram sets have one 64-bit fingerprint; change the hash base")
     wanted = classes.filter(f"repeated >= floor(({percent} * n + 99) / 100)").select("doc_id")
@@ -287,7 +287,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     least = classes.select("set", "doc_id").join(roots.withColumnRenamed("node", "set"), "set", "left")
     component = least.groupBy(F.coalesce("root", "set").alias("root")).agg(F.min("doc_id").alias("component_id"))
     named = least.select("set", F.coalesce("root", "set").alias("root")).join(component, "root").select("set", "component_id")
-    linked = known.drop("repeated").join(named, "set", "left").select(
+    linked = known.join(named, "set", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     rest = texts.filter(F.col("doc_id").isNull() | F.col("text").isNull()).select(
         "doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
