@@ -353,3 +353,20 @@ def test_the_decoder_holds_back_unfinished_characters():
             assert given == data[:len(given)] and len(data[:i + 3]) - len(given) < 4
         assert text + machine.close() == data.decode("utf-8", "replace") == "".join(bpe.decode_stream(ids, token))
         assert given + decoder.close() == data
+
+
+def test_copies_of_one_text_are_sent_once_a_batch(spark):
+    import pyarrow as pa
+
+    hot = " ".join(f"hot{i}" for i in range(40))
+    other = [" ".join(words(random.Random(i), 40)) for i in range(600)]
+    rows = [(i, hot if i % 3 == 0 else other[i % 600], None, None) for i in range(1800)]
+    block = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["doc_id", "text"])
+    sent = pa.Table.from_batches(list(jaccard_join._send([block], 5, 4)))
+    numbers = [n for n in sent.column("number").to_pylist() if n is not None]
+    assert sum(map(len, numbers)) == 8 * len({r[1] for r in rows})  # one number for each set, not for each document
+    got = collected(jaccard_join.jaccard_components(frame(spark, rows)), "doc_id", "n_shingles", "component_id")
+    first = {}
+    for i, text, *_ in rows:
+        first.setdefault(text, i)
+    assert got == sorted(((i, 36, first[text]) for i, text, *_ in rows), key=repr)
