@@ -12,8 +12,11 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 KEY_SEPARATOR = ":"
+#: Rows of a file that a compact position can tell apart, and files whose list is still small enough to join, some 10 MB.
+FILE_ROWS, MAX_FILES = 1 << 40, 50_000
 
 
 def file_position() -> Column:
@@ -21,6 +24,22 @@ def file_position() -> Column:
     return F.struct("_metadata.file_path", "_metadata.row_index")
 
 
+def with_position(scan: DataFrame, name: str, max_files: int = MAX_FILES) -> DataFrame:
+    """Add the place of each row of a Parquet scan, as one number: files in order of their names, rows as they lie.
+
+    The least number of a key is found by a hash aggregation, where the least of a structure with a text would sort.  With more
+    than ``max_files`` files, whose list would grow too large to send to every task, places are structures.
+    """
+    if len(scan.inputFiles()) > max_files:
+        return scan.select("*", file_position().alias(name))
+    # Names as rows have them, which may be spelled otherwise than in the list of files; this pass reads no column.
+    paths = sorted(r[0] for r in scan.select("_metadata.file_path").distinct().collect())
+    number = scan.sparkSession.createDataFrame(list(enumerate(paths)), "_file bigint, _path string")
+    placed = scan.select("*", F.col("_metadata.file_path").alias("_of"), F.col("_metadata.row_index").alias("_row"))
+    joined = placed.join(number, F.col("_of") == F.col("_path"))
+    return joined.select(*scan.columns, (F.col("_file") * FILE_ROWS + F.col("_row")).alias(name))
+
+
 def with_record_key(df: DataFrame, *fields: str) -> DataFrame:
     """Add ``record_key``, the trimmed fields joined by a colon.
 
@@ -62,12 +81,19 @@ def repeated_records(df: DataFrame, keys: Sequence[str], order: str) -> DataFram
 
 
 def first_records(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """First row of each key, whole."""
+    """First row of each key, whole; ``order`` is unique within a key.
+
+    Where ``order`` is a number, rows are matched with the first numbers: a hash aggregation and a join that is
+    spread by the number.  Any other order is found with its row, which sorts.
+    """
     others = [c for c in df.columns if c not in (*keys, order)]
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*others, order), F.col(order)).alias("_r")
-    )
-    return picked.select(*keys, "_r.*")
+    if not isinstance(df.schema[order].dataType, IntegralType):
+        picked = df.groupBy(*keys).agg(F.min_by(F.struct(*others, order), F.col(order)).alias("_r"))
+        return picked.select(*keys, "_r.*")
+    firsts = first_positions(df, keys, order)
+    firsts = firsts.select(*[F.col(c).alias(f"_first_{i}") for i, c in enumerate([*keys, order])])
+    met = reduce(and_, [df[c].eqNullSafe(firsts[f"_first_{i}"]) for i, c in enumerate(keys)], df[order] == firsts[f"_first_{len(keys)}"])
+    return df.join(firsts, met, "left_semi").select(*keys, *others, order)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -19,7 +19,7 @@ MAX_BATCH_BYTES = 5 * 1024 * 1024
 # Amounts must fit the money type.
 AMOUNT_LIMIT = 1e12
 
-# Constraints of the stored tables: rule name to the condition that must hold.
+# Constraints of the stored tables and of served figures, by rule name the condition that must hold.
 STATS_RULES = {
     "event_count_not_negative": "event_count >= 0",
     "total_bid_amount_not_negative": "total_bid_amount >= 0",

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from campanile import session
-from campanile.operators import aggregate, dedupe, ingest, lookup, maintenance, quality, views
+from campanile.operators import aggregate, dedupe, distinct, ingest, lookup, maintenance, quality, views
 from campanile.plans import health, reports
 from campanile.plans.top_campaigns import top_campaigns
 from campanile.sinks import messages, oplog, stats_table, stored
@@ -23,6 +24,9 @@ RANGE = ("2024-01-05 00:00:00", "2024-01-20 00:00:00")
 REPORT_MONTH = ("1995-07-01 00:00:00", "1995-08-01 00:00:00")
 ALL_ORDERS = ("1995-01-01 00:00:00", "2001-12-31 00:00:00")
 SLICES = 4
+RETENTION_AS_OF = "2024-04-15 12:00:00"
+#: The limit that follows, the start of an hour: windows on either side lie wholly on it.
+RETAINED_FROM = str(datetime.fromisoformat(RETENTION_AS_OF) - timedelta(days=maintenance.RETENTION_DAYS))
 CAMPAIGN = "campaign_7"
 ADVERTISER = "adv_7"
 ALL_DIMS = ("device_type", "country_code", "product_brand", "product_age_group", "product_category_1")
@@ -50,8 +54,13 @@ def _doubles(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-def _stats(spark, folder, dims: Sequence[str] = (), window: str = "1 day") -> DataFrame:
-    return derived.campaign_stats(spark, folder, window, dims)
+def _stats(spark, folder, dims: Sequence[str] = (), window: str = "1 day", **bounds: str) -> DataFrame:
+    return derived.campaign_stats(spark, folder, window, dims, **bounds)
+
+
+def _ranged(spark, folder, window: str, **bounds: str) -> DataFrame:
+    """Statistics of the reporting range; its bounds are midnights, so they are bounds of windows too."""
+    return _stats(spark, folder, window=window, start=RANGE[0], end=RANGE[1], **bounds)
 
 
 # --- ingest -------------------------------------------------------------------------------------
@@ -123,6 +132,26 @@ def event_batch_round_trip(spark, folder):
     return again.select("batch_id", "source", F.size("events").alias("event_count"))
 
 
+def _nested_events(spark, folder):
+    """Events with nested attributes, packed into messages and parsed once more."""
+    batches = ingest.parse_event_batches(derived.nested_batch_messages(spark, folder), nested=True)
+    again = ingest.parse_event_batches(ingest.pack_event_batches(batches), nested=True)
+    return ingest.explode_event_batches(again)
+
+
+@query()
+def nested_attribute_round_trip(spark, folder):
+    return _nested_events(spark, folder).select(
+        "event_id", F.variant_get("attributes", "$.user.id", "bigint").alias("user_id"),
+        F.variant_get("attributes", "$.user.group.name", "string").alias("group_name"),
+        F.variant_get("attributes", "$.k", "string").alias("k"), F.variant_get("attributes", "$.tags[1]", "string").alias("tag"))
+
+
+@query()
+def nested_attribute_paths(spark, folder):
+    return ingest.attribute_paths(_nested_events(spark, folder))
+
+
 @query()
 def event_messages(spark, folder):
     sent = messages.to_messages(derived.ad_events(spark, folder).select("campaign_id", "event_type", "user_id"))
@@ -135,7 +164,7 @@ def sql_report(spark, folder):
         spark,
         "SELECT event_type, sum(event_count) AS event_count FROM {stats} "
         "WHERE window_start_time >= :start GROUP BY event_type",
-        {"stats": _stats(spark, folder)}, start=RANGE[0],
+        {"stats": _stats(spark, folder, start=RANGE[0])}, start=RANGE[0],
     )
 
 
@@ -204,6 +233,33 @@ def unique_records(spark, folder):
     return aggregate.distinct_count(keyed, "record_key")
 
 
+def _daily_users(spark, folder):
+    return derived.ad_events(spark, folder, *RANGE).withColumn("day", F.to_date("event_timestamp"))
+
+
+@query()
+def distinct_users_by_brand(spark, folder):
+    """Users of two weeks per brand, merged from a bitmap for each day."""
+    parts = distinct.distinct_parts(_daily_users(spark, folder), ["day", "product_brand"], "user_id")
+    return distinct.merged_distinct(parts, ["product_brand"])
+
+
+@query()
+def distinct_users_by_day(spark, folder):
+    parts = distinct.distinct_parts(_daily_users(spark, folder), ["day", "product_brand"], "user_id")
+    return distinct.merged_distinct(parts, ["day"])
+
+
+@query()
+def estimated_users_by_brand(spark, folder):
+    """Whether the merged sketches of the days come within 5 % of the exact number, or of one user."""
+    users = _daily_users(spark, folder)
+    estimate = distinct.merged_estimate(distinct.sketch_parts(users, ["day", "product_brand"], "user_id"), ["product_brand"], "estimate")
+    exact = distinct.merged_distinct(distinct.distinct_parts(users, ["day", "product_brand"], "user_id"), ["product_brand"])
+    near = F.abs(F.col("estimate") - F.col("distinct_users")) <= F.greatest(F.lit(1.0), F.col("distinct_users") * 0.05)
+    return exact.join(estimate, "product_brand").select("product_brand", near.alias("within_5_percent"))
+
+
 # --- views --------------------------------------------------------------------------------------
 
 
@@ -241,13 +297,13 @@ def stats_records(spark, folder):
 
 @query()
 def stats_for_campaign(spark, folder):
-    return lookup.stats_for_campaign(_stats(spark, folder, window="1 minute"), CAMPAIGN, *RANGE)
+    return lookup.stats_for_campaign(_ranged(spark, folder, "1 minute", campaign=CAMPAIGN), CAMPAIGN, *RANGE)
 
 
 @query()
 def stats_in_range(spark, folder):
     return _doubles(
-        lookup.stats_in_range(_stats(spark, folder, window="1 hour"), *RANGE),
+        lookup.stats_in_range(_ranged(spark, folder, "1 hour"), *RANGE),
         "total_bid_amount", "spend_usd", "total_sales_amount_euro",
     )
 
@@ -275,21 +331,21 @@ def advertiser_campaigns(spark, folder):
 @query()
 def stats_with_metadata(spark, folder):
     return lookup.stats_with_metadata(
-        _stats(spark, folder, window="1 hour"), derived.campaign_metadata(spark, folder), *RANGE, as_of=META_AS_OF
+        _ranged(spark, folder, "1 hour"), derived.campaign_metadata(spark, folder), *RANGE, as_of=META_AS_OF
     )
 
 
 @query()
 def campaign_performance_summary(spark, folder):
     return lookup.campaign_performance_summary(
-        _stats(spark, folder), derived.campaign_metadata(spark, folder), *RANGE
+        _ranged(spark, folder, "1 day"), derived.campaign_metadata(spark, folder), *RANGE
     )
 
 
 @query()
 def campaign_performance_summary_one(spark, folder):
     return lookup.campaign_performance_summary(
-        _stats(spark, folder), derived.campaign_metadata(spark, folder), *RANGE, campaign_id=CAMPAIGN
+        _ranged(spark, folder, "1 day", campaign=CAMPAIGN), derived.campaign_metadata(spark, folder), *RANGE, campaign_id=CAMPAIGN
     )
 
 
@@ -617,13 +673,13 @@ def backfill_impression_bids(spark, folder):
 
 @query()
 def retained_stats(spark, folder):
-    kept = maintenance.apply_retention(_stats(spark, folder, window="1 hour"), "2024-04-15 12:00:00")
+    kept = maintenance.apply_retention(_stats(spark, folder, window="1 hour", start=RETAINED_FROM), RETENTION_AS_OF)
     return views.stats_records(kept)
 
 
 @query()
 def expired_stats(spark, folder):
-    return maintenance.expired_rows(_stats(spark, folder, window="1 hour"), "2024-04-15 12:00:00")
+    return maintenance.expired_rows(_stats(spark, folder, window="1 hour", end=RETAINED_FROM), RETENTION_AS_OF)
 
 
 @query()
@@ -639,7 +695,7 @@ def stored_summary(spark, folder):
 def operational_log(spark, folder):
     """Retention and its log entry, read back from the log."""
     place = session.scratch_dir(spark, "oplog")
-    expired = maintenance.expired_rows(_stats(spark, folder, window="1 hour"), "2024-04-15 12:00:00").first()
+    expired = maintenance.expired_rows(_stats(spark, folder, window="1 hour", end=RETAINED_FROM), RETENTION_AS_OF).first()
     oplog.log_cleanup(spark, f"{place}/log", "campaign_stats", expired["deleted_rows"])
     log = oplog.read_log(spark, f"{place}/log")
     return log.select(
@@ -769,7 +825,6 @@ def stream_stats_over_triggers(spark, folder):
 # --- tables and streams over several micro-batches ------------------------------------------------
 
 EARLY_END, RUNNING_HOUR = "2024-01-15 12:30:00", "2024-01-15 12:00:00"
-PURGE_AS_OF = "2024-04-15 12:00:00"
 LATE_DELAY = "10 days"
 STORED_DIMS = ("device_type", "country_code")
 
@@ -857,7 +912,7 @@ def stats_after_purge_and_compaction(spark, folder):
     write(early, 0)
     table.compact()
     write(late_part, 1)
-    stored.purge_expired(table, PURGE_AS_OF)
+    stored.purge_expired(table, RETENTION_AS_OF)
     write(early.filter(f"window_start_time < TIMESTAMP '{RUNNING_HOUR}'"), 2)
     table.compact()
     return views.stats_records(table.current())
@@ -878,7 +933,7 @@ def kept_summary_by_stage(spark, folder):
     """The kept summary after each change of the table: a first batch, one that replaces an hour, a purge."""
     place, table, early, late_part = _early_and_late(spark, folder, "kept")
     kept = stored.KeptSummary(table, f"{place}/summary")
-    changes = (lambda: table.writer()(early, 0), lambda: table.writer()(late_part, 1), lambda: stored.purge_expired(table, PURGE_AS_OF))
+    changes = (lambda: table.writer()(early, 0), lambda: table.writer()(late_part, 1), lambda: stored.purge_expired(table, RETENTION_AS_OF))
     for stage, change in enumerate(changes):
         change()
         kept.refresh()
@@ -913,3 +968,48 @@ def stream_repeat_records(spark, folder):
 
     _in_slices(lambda i: events.filter(part == i), place, start)
     return spark.read.schema(repeat_history.OUTPUT).parquet(f"{place}/out").select("record_key", "occurrence")
+
+
+@query()
+def stream_state_matches_table(spark, folder):
+    """The totals in the state of a stopped stream, read back, beside those that its table holds."""
+    place = session.scratch_dir(spark, "state")
+    stats = stats_job.event_stats(derived.event_messages(_event_stream(spark, folder)), "1 day", "400 days")
+    stats_job.start_stats_stream(stats, f"{place}/table", f"{place}/checkpoint", place.rsplit("/", 1)[-1], processing_time=None).awaitTermination()
+    held = stats_job.state_totals(spark, f"{place}/checkpoint")
+    table = stats_table.latest_stats(stats_table.read_versions(spark, f"{place}/table", stats.schema))
+    both = table.join(held, ["campaign_id", "event_type", "window_start_time"], "full")
+    return _doubles(both, "total_bid_amount", "state_bid_amount").select(
+        "campaign_id", "event_type", "window_start_time", "event_count", "total_bid_amount", "state_count", "state_bid_amount")
+
+
+# --- full rows, and bounds of what is served --------------------------------------------------------
+
+
+@query()
+def parsed_event_fields(spark, folder):
+    """All declared fields of the parsed messages."""
+    return ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder)))
+
+
+@query()
+def enriched_event_fields(spark, folder):
+    """All fields after the defaults are filled."""
+    return ingest.enrich_events(ingest.parse_events(derived.event_messages(derived.ad_events(spark, folder))))
+
+
+@query()
+def kpi_violations(spark, folder):
+    """Daily figures outside the bounds of the served report, here of statistics with debits among the spend."""
+    daily = aggregate.totals_by_day(_stats(spark, folder).withColumn("total_bid_amount", F.col("total_bid_amount") - 60))
+    rules = {n: r for n, r in quality.KPI_RULES.items() if r.split(" ")[0] in daily.columns}
+    return quality.constraint_violations(daily, rules).select(F.col("day"), F.concat_ws(",", "violations").alias("violations"))
+
+
+@query()
+def health_violations(spark, folder):
+    """Runs of a pipeline whose figures are outside the bounds of the served health report."""
+    runs = derived.raw_processing_runs(spark, folder).select(
+        "job_id", F.lit(0).alias("data_freshness_seconds"), (F.col("quality_score") + 1).alias("etl_success_rate"),
+        F.col("quality_score").alias("data_quality_score"))
+    return quality.constraint_violations(runs, quality.HEALTH_RULES).select("job_id", F.concat_ws(",", "violations").alias("violations"))

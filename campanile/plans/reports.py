@@ -8,7 +8,7 @@ every row come from a scalar subquery, not from a join or a single-task window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from campanile.functions import (
     in_percent, in_thousands, pivot_count, pivot_count_or_null, quadrant, ratio, rounded_ratio, safe_div,
@@ -34,6 +34,11 @@ def _total(column: str) -> Column:
     return F.expr(f"coalesce(CAST(sum({column}) AS DECIMAL(38,6)), CAST(0 AS DECIMAL(38,6)))")
 
 
+def _total_of(value: Column) -> Column:
+    """The same of an expression."""
+    return F.coalesce(F.sum(value).cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)"))
+
+
 def _double(*columns: str) -> list[Column]:
     return [F.col(c).cast("double").alias(c) for c in columns]
 
@@ -92,18 +97,24 @@ def roi_trend(stats: DataFrame, as_of=None, days: int = 90, fallback_all: bool =
 
     With ``fallback_all`` an empty range gives all days instead.
     """
-    found = stats
-    if as_of is not None:
-        recent = newer_than(stats, as_of, days)
-        found = recent
-        if fallback_all:
-            limit = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))
-            newest = stats.agg(F.max("window_start_time").alias("newest")).scalar()
-            found = stats.filter((F.col("window_start_time") > limit) | (newest <= limit))
-    daily = _daily(found).groupBy("day").agg(
-        _total("total_sales_amount_euro").alias("revenue"), _total("spend_usd").alias("spend")
+    if as_of is None or not fallback_all:
+        found = stats if as_of is None else newer_than(stats, as_of, days)
+        daily = _daily(found).groupBy("day").agg(_total("total_sales_amount_euro").alias("revenue"), _total("spend_usd").alias("spend"))
+        return daily.select("day", safe_div("revenue", "spend").alias("roi")).orderBy("day")
+    # One pass over the statistics sums each day twice, with and without the rows before the limit.
+    recent = F.col("window_start_time") > F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))
+    sums = {"revenue": F.col("total_sales_amount_euro"), "spend": F.col("spend_usd")}
+    daily = _daily(stats).groupBy("day").agg(
+        F.count_if(recent).alias("recent_rows"),
+        *[_total_of(c).alias(n) for n, c in sums.items()],
+        *[_total_of(F.when(recent, c)).alias(f"recent_{n}") for n, c in sums.items()],
     )
-    return daily.select("day", safe_div("revenue", "spend").alias("roi")).orderBy("day")
+    # Days are few, some hundred a year, so one task may see them all; which of the sums count follows from them.
+    any_recent = F.col("any_recent")
+    spread = daily.withColumn("any_recent", F.max("recent_rows").over(Window.partitionBy(F.lit(0))) > 0)
+    chosen = spread.filter(~any_recent | (F.col("recent_rows") > 0)).select(
+        "day", *[F.when(any_recent, F.col(f"recent_{n}")).otherwise(F.col(n)).alias(n) for n in sums])
+    return chosen.select("day", safe_div("revenue", "spend").alias("roi")).orderBy("day")
 
 
 def roi_trend_rounded(stats: DataFrame) -> DataFrame:

@@ -30,14 +30,12 @@ def campaign_totals(hourly: DataFrame, start=None, end=None) -> DataFrame:
         F.col("campaign_id").isNotNull() & (F.col("impressions") >= 0)
     )
     country = F.coalesce("country_code", F.lit(UNKNOWN_COUNTRY)).alias("country_code")
-    sums = [
-        F.sum(F.coalesce(c, F.lit(0))).alias(f"total_{c}") for c in ("impressions", "clicks", "conversions")
-    ]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(f"total_{c}") for c in ("impressions", "clicks", "conversions")]
     return (
         usable.groupBy("campaign_id", country)
         .agg(
             *sums,
-            F.sum(F.coalesce("spend_usd", F.lit(0))).cast("decimal(38,6)").alias("total_spend_usd"),
+            F.coalesce(F.sum("spend_usd"), F.lit(0)).cast("decimal(38,6)").alias("total_spend_usd"),
             F.count("*").alias("hourly_records_count"),
         )
         .filter("total_impressions > 0")

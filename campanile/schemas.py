@@ -87,4 +87,12 @@ ENVELOPE = _struct(
     )),
 )
 
+#: The same with attributes of any shape, objects in objects among them.
+NESTED_ENVELOPE = _struct(
+    batch_id=S, source=S,
+    events=T.ArrayType(_struct(
+        event_id=S, timestamp=TS, event_name=S, attributes=T.VariantType(),
+    )),
+)
+
 OPERATIONAL_EVENT = _struct(event_type=S, event_data=S, created_at=TS)

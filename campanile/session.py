@@ -34,8 +34,10 @@ def build_session(app: str = "campanile", master: str | None = None, **conf: str
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings that results depend on to a session made elsewhere."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Apply the settings that results depend on, and those of the streams' state, to a session made elsewhere."""
+    for key, value in SESSION_CONF.items():
+        if key == "spark.sql.session.timeZone" or key.startswith("spark.sql.streaming."):
+            spark.conf.set(key, value)
     return spark
 
 

@@ -8,6 +8,8 @@ from campanile import schemas
 from campanile.operators.aggregate import campaign_summary
 
 SUMMARY_NAME = "campaign_stats_summary"
+# Event types that readers of the log know.
+REFRESHED, REFRESH_FAILED, CLEANED = "materialized_view_refresh", "materialized_view_refresh_error", "data_cleanup"
 
 
 def operational_event(spark: SparkSession, event_type: str, payload: dict) -> DataFrame:
@@ -35,10 +37,10 @@ def refresh_summary(spark: SparkSession, stats: DataFrame, path: str, log_path:
     try:
         campaign_summary(stats, F.current_timestamp()).write.mode("overwrite").parquet(path)
     except Exception as error:
-        log_event(spark, log_path, "materialized_view_refresh_error", {"view": SUMMARY_NAME, "error": str(error)})
+        log_event(spark, log_path, REFRESH_FAILED, {"view": SUMMARY_NAME, "error": str(error)})
         raise
-    log_event(spark, log_path, "materialized_view_refresh", {"view": SUMMARY_NAME, "status": "completed"})
+    log_event(spark, log_path, REFRESHED, {"view": SUMMARY_NAME, "status": "completed"})
 
 
 def log_cleanup(spark: SparkSession, log_path: str, table: str, deleted_rows: int) -> None:
-    log_event(spark, log_path, "data_cleanup", {"table": table, "deleted_rows": deleted_rows})
+    log_event(spark, log_path, CLEANED, {"table": table, "deleted_rows": deleted_rows})

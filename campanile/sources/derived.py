@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from campanile.functions import from_micros, sum_money
 from campanile.operators.aggregate import aggregate_events
-from campanile.operators.dedupe import file_position
+from campanile.operators.dedupe import file_position, with_position
 from campanile.schemas import CLICK_LOG_COLUMNS
 from campanile.sources.tables import read_table
 
@@ -53,21 +53,35 @@ def to_ad_events(events: DataFrame) -> DataFrame:
     )
 
 
-def ad_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table."""
+def ad_events(
+    spark: SparkSession, folder: str, start: str | None = None, end: str | None = None, campaign: str | None = None,
+) -> DataFrame:
+    """The event table, or what lies in a half-open time range or belongs to a campaign.
+
+    Bounds are compared with the raw columns, so they reach the scan.
+    """
     events = read_table(spark, folder, "events")
+    if start is not None:
+        events = events.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        events = events.filter(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+    if campaign is not None:
+        user = campaign.removeprefix("campaign_")
+        events = events.filter(F.col("user_id") == int(user)) if user.isdigit() else events.limit(0)
     return to_ad_events(events)
 
 
 def campaign_stats(
     spark: SparkSession, folder: str, window: str = "1 day", dims: Sequence[str] = (), sales: bool = True,
+    start: str | None = None, end: str | None = None, campaign: str | None = None,
 ) -> DataFrame:
     """Statistics table, with missing dimension values kept as NULL.
 
     Reports add up windows, so a day is as good as a minute and a much smaller
-    intermediate result.
+    intermediate result.  ``start`` and ``end`` lie on bounds of windows: they leave whole
+    windows out before the events are read.
     """
-    events = ad_events(spark, folder).withColumn("total_bid_amount", F.coalesce("spend_usd", F.lit(0.0)))
+    events = ad_events(spark, folder, start, end, campaign).withColumn("total_bid_amount", F.coalesce("spend_usd", F.lit(0.0)))
     stats = aggregate_events(events, window, dims=dims, sales=sales)
     return stats.withColumn("spend_usd", F.col("total_bid_amount")) if sales else stats
 
@@ -118,6 +132,20 @@ def event_batch_messages(spark: SparkSession, folder: str) -> DataFrame:
     return envelope.select(value.alias("value"), "arrival")
 
 
+def nested_batch_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Envelopes of one event whose attributes hold objects, arrays and values of changing type."""
+    made = read_table(spark, folder, "events").selectExpr(
+        "event_id", "event_type", _iso("ts") + " AS iso",
+        "concat('{\"user\":{\"id\":', user_id, CASE WHEN event_id % 3 = 0 THEN ',\"group\":{\"name\":\"g\"}' ELSE '' END, '}', "
+        "',\"k\":', CASE WHEN event_id % 2 = 0 THEN get_json_object(props, '$.k') "
+        "ELSE concat('\"', get_json_object(props, '$.k'), '\"') END, "
+        "CASE WHEN event_id % 5 = 0 THEN ',\"tags\":[1,\"x\"]' ELSE '' END, '}') AS attributes",
+    )
+    return made.selectExpr(
+        "concat('{\"batch_id\":\"b', event_id, '\",\"source\":\"s\",\"events\":[{\"event_id\":\"', event_id, '\",\"timestamp\":\"', iso, "
+        "'\",\"event_name\":\"', event_type, '\",\"attributes\":', attributes, '}]}') AS value")
+
+
 # --- dimension and facts ------------------------------------------------------------------------
 
 
@@ -218,9 +246,8 @@ def hourly_performance(spark: SparkSession, folder: str, start: str | None = Non
 
 def keyed_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records with ``id``, ``type`` and their unique arrival order."""
-    return read_table(spark, folder, "lineitem").select(
-        _text("l_orderkey").alias("id"), _text("l_linenumber").alias("type"), file_position().alias("arrival")
-    )
+    lines = with_position(read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"), "arrival")
+    return lines.select(_text("l_orderkey").alias("id"), _text("l_linenumber").alias("type"), "arrival")
 
 
 def click_log_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from campanile.functions import from_micros
 from campanile.operators.aggregate import aggregate_events
 from campanile.operators.ingest import enrich_events
 from campanile.operators.quality import accepted, observe_quality, quarantine_events, rejected
@@ -90,3 +91,16 @@ def stop_stream(query: StreamingQuery, timeout: float | None = None) -> None:
     if query.isActive:
         query.stop()
     query.awaitTermination(timeout) if timeout else query.awaitTermination()
+
+
+def state_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Count and spend of each window still open in the state of a stopped statistics stream.
+
+    Windows that the watermark closed are in the table only.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    key, count, spend = (state.schema[n].dataType.names for n in ("key", "value", "value"))
+    return state.select(
+        F.col("key")["campaign_id"].alias("campaign_id"), F.col("key")["event_type"].alias("event_type"),
+        F.col("key")[key[0]]["start"].alias("window_start_time"),
+        F.col("value")[count[-2]].alias("state_count"), from_micros(F.col("value")[spend[-1]]).alias("state_bid_amount"))

@@ -110,7 +110,7 @@ def test_repeats_are_matched_on_key_and_position(spark):
     finally:
         spark.conf.set(key, before)
     assert len(re.findall(r"Exchange hashpartitioning\(record_key#\d+, arrival#\d+", text)) == 2
-    by_key = re.findall(r"Exchange hashpartitioning\(record_key#\d+, \d+\)[^\n]*\n[^\n]*SortAggregate[^\n]*partial_min", text)
+    by_key = re.findall(r"Exchange hashpartitioning\(record_key#\d+, \d+\)[^\n]*\n[^\n]*HashAggregate[^\n]*partial_min", text)
     assert len(by_key) == 1
 
 
@@ -123,3 +123,20 @@ def test_stream_writes_without_collecting():
     for module in (sink, stats_job, arrival, repeats):
         source = inspect.getsource(module)
         assert ".collect(" not in source and "toPandas" not in source and "localCheckpoint" not in source
+
+
+@pytest.mark.parametrize("name", ["stats_for_campaign", "stats_in_range", "stats_with_metadata", "campaign_performance_summary",
+                                  "campaign_performance_summary_one", "sql_report", "retained_stats", "expired_stats"])
+def test_ranges_of_registered_queries_reach_the_event_scan(spark, name):
+    text = plan(registry.all_queries()[name](spark, FOLDER))
+    assert re.search(r"PushedFilters: \[[^\n]*(GreaterThanOrEqual|LessThan)\(ts,", text)
+    assert "one" not in name and "campaign" not in name.split("_")[-1] or "EqualTo(user_id,7)" in text
+
+
+@pytest.mark.parametrize("name", ["duplicate_records", "first_records", "user_first_events", "insert_ignore"])
+def test_first_and_repeated_records_are_hash_aggregations(spark, name):
+    assert "SortAggregate" not in plan(registry.all_queries()[name](spark, FOLDER))
+
+
+def test_the_return_of_recent_days_reads_events_once(spark):
+    assert plan(registry.all_queries()["roi_trend_fallback"](spark, FOLDER)).count("FileScan") <= 2  # initial and final plan

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from campanile.operators import dedupe, quality
-from tests.helpers import messages, rows, table
+from tests.helpers import messages, plan, rows, table
 
 GOOD = {"timestamp": "2024-01-01T00:00:00Z", "campaign_id": "c", "event_type": "click", "spend_usd": 1}
 
@@ -161,3 +161,23 @@ def test_every_summed_amount_is_checked(spark, field, value):
     bad = '{"timestamp":"2024-01-01T10:00:00Z","campaign_id":"c","event_type":"click","%s":%s}' % (field, value)
     checked = quality.quarantine_events(messages(spark, bad)).select("reject_reason").first()
     assert checked.reject_reason == "amount out of range"
+
+
+def test_positions_are_numbers_in_order_of_files_and_rows(spark, folder):
+    path = f"{folder}/some table"
+    spark.range(0, 30, 1, 3).selectExpr("id", "id % 4 AS k").write.parquet(path)
+    scan = spark.read.parquet(path)
+    placed = dedupe.with_position(scan, "arrival")
+    assert dict(placed.dtypes)["arrival"] == "bigint" and placed.columns == ["id", "k", "arrival"]
+    got = [r.id for r in placed.orderBy("arrival").collect()]
+    other = dedupe.with_position(scan, "arrival", max_files=0)
+    assert got == [r.id for r in other.orderBy("arrival").collect()] == sorted(got)
+    firsts = table(dedupe.first_records(placed, ["k"], "arrival"), "k", "id")
+    assert firsts == table(dedupe.first_records(other, ["k"], "arrival"), "k", "id") == [(0, 0), (1, 1), (2, 2), (3, 3)]
+    text = plan(dedupe.first_records(placed, ["k"], "arrival"))
+    assert "SortAggregate" not in text and "SortAggregate" in plan(dedupe.first_records(other, ["k"], "arrival"))
+
+
+def test_first_records_keep_a_row_of_the_null_key(spark):
+    df = spark.createDataFrame([(None, 2, "late"), (None, 1, "early"), ("a", 3, "x")], "k string, seq bigint, v string")
+    assert table(dedupe.first_records(df, ["k"], "seq"), "k", "v") == [("a", "x"), (None, "early")]
