@@ -377,33 +377,42 @@ class Utf8Stream:
 class StreamDecoder:
     """Incremental decoding of ids: ``feed`` returns the bytes of whole characters, ``close`` those of an unfinished one.
 
-    The UTF-8 machine is moved by tokens; where a token leads from a state is found byte by byte once and kept.
+    The UTF-8 machine is moved by tokens; where a token leads from a state is found byte by byte once and kept.  Between
+    characters it goes on at the next token that doesn't end between characters again.
     """
 
     def __init__(self, token: list[bytes]):
         self.token, self.state, self.held = token, 0, b""
         self._moves: dict[int, int] = {}  # at most eight for each token
+        self._cuts = np.array([self._leads(data, 0) & 7 > 0 for data in token], bool)  # tokens that end within a character
 
-    def _move(self, key: int) -> int:
-        """The next state, plus ``FRESH`` if its character began within the token."""
-        state, fresh = key & 7, 0
-        for byte in self.token[key >> 3]:
+    @staticmethod
+    def _leads(data: bytes, state: int) -> int:
+        """The next state, plus ``FRESH`` if its character began within ``data``."""
+        fresh = 0
+        for byte in data:
             to = UTF8_MOVES[state][byte]
             if to == ILL:  # a broken character ends before this byte
                 state, to = 0, UTF8_MOVES[0][byte]
             fresh = fresh if state else FRESH
             state = 0 if to == ILL else to
-        self._moves[key] = state | fresh
         return state | fresh
 
-    def feed(self, ids: list[int]) -> bytes:
-        state, moves, whole = self.state, self._moves, -1  # ids before ``whole`` are whole characters; -1: not even what is held is
-        for place, token in enumerate(ids, 1):
-            key = token << 3 | state
+    def feed(self, ids: list[int] | np.ndarray) -> bytes:
+        numbers = np.asarray(ids, np.int64)
+        ids, cuts = numbers.tolist(), iter(np.flatnonzero(self._cuts[numbers]).tolist())
+        state, moves, place = self.state, self._moves, 0
+        whole = -1 if state else 0  # ids before ``whole`` are whole characters; -1: not even what is held is
+        while place < len(ids):
+            if not state:
+                place = whole = next((c for c in cuts if c >= place), len(ids))
+                if place == len(ids):
+                    break
+            key = ids[place] << 3 | state
             move = moves.get(key, -1)
             if move < 0:
-                move = self._move(key)
-            state = move & 7
+                move = moves[key] = self._leads(self.token[key >> 3], state)
+            place, state = place + 1, move & 7
             if not state:
                 whole = place
             elif move & FRESH:
@@ -487,7 +496,7 @@ def _decode(blocks, shared):
         out = []
         for packed in block.column("ids").to_pylist():
             ids = np.frombuffer(packed or b"", "<u4")
-            parts = [decoder.feed(ids[at:at + CHUNK].tolist()) for at in range(0, len(ids), CHUNK)]
+            parts = [decoder.feed(ids[at:at + CHUNK]) for at in range(0, len(ids), CHUNK)]
             out.append(b"".join([*parts, decoder.close()]))
         rest = [c for c in block.schema.names if c != "ids"]
         yield pa.RecordBatch.from_arrays([block.column(c) for c in rest] + [pa.array(out, pa.binary())], names=[*rest, "decoded"])

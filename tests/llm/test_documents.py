@@ -370,3 +370,11 @@ def test_copies_of_one_text_are_sent_once_a_batch(spark):
     for i, text, *_ in rows:
         first.setdefault(text, i)
     assert got == sorted(((i, 36, first[text]) for i, text, *_ in rows), key=repr)
+
+
+def test_tokens_of_whole_characters_do_not_move_the_decoder():
+    token = bpe.tokens_by_rank(RANKS)
+    decoder = bpe.StreamDecoder(token)
+    ids = [RANKS[b" the"], RANKS["é".encode()], RANKS["日".encode()[:1]], RANKS["日".encode()[1:2]], RANKS["日".encode()[2:]], RANKS[b" the"]]
+    assert decoder.feed(np.array(ids[:4])) == " theé".encode() and decoder.feed(ids[4:]) == "日 the".encode() and decoder.close() == b""
+    assert sorted(k >> 3 for k in decoder._moves) == sorted(ids[2:5])
