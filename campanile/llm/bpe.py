@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campanile.llm.ship import ship
+from campanile.llm.ship import bound_blocks, ship
 from campanile.llm.words import batches
 
 #: Kept states, pieces and neighbour tests; a full table is dropped and begun anew.
@@ -489,21 +489,16 @@ def _encode(blocks, shared, pattern: str):
     _KEPT.put(key, encoder)
 
 
-def _decode(blocks, shared):
-    """Decodes chunk by chunk: a row's ids are fed to the machine ``CHUNK`` at a time."""
-    decoder = StreamDecoder(tokens_by_rank(shared.value))
+def _decode(blocks, shared, names: list[str]):
+    """Columns ``names`` and the decoded bytes, chunk by chunk: a row's ids are fed to the machine ``CHUNK`` at a time."""
+    decoder = StreamDecoder(shared.value)
     for block in batches(blocks):
         out = []
         for packed in block.column("ids").to_pylist():
             ids = np.frombuffer(packed or b"", "<u4")
             parts = [decoder.feed(ids[at:at + CHUNK]) for at in range(0, len(ids), CHUNK)]
             out.append(b"".join([*parts, decoder.close()]))
-        rest = [c for c in block.schema.names if c != "ids"]
-        yield pa.RecordBatch.from_arrays([block.column(c) for c in rest] + [pa.array(out, pa.binary())], names=[*rest, "decoded"])
-
-
-def _schema(frame: DataFrame, without: str, extra: str) -> str:
-    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != without] + [extra])
+        yield pa.RecordBatch.from_arrays([block.column(c) for c in names] + [pa.array(out, pa.binary())], names=[*names, "decoded"])
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *keep: str) -> DataFrame:
@@ -514,20 +509,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *keep: str) -
     """
     spark = docs.sparkSession
     ship(spark)
+    bound_blocks(spark)
     shared = spark.sparkContext.broadcast(ranks)
     frame = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    return frame.mapInArrow(lambda b: _encode(b, shared, pattern), _schema(frame, "text", "ids binary"))
+    out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != "text"] + ["ids binary"])
+    return frame.mapInArrow(lambda b: _encode(b, shared, pattern), out)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], *keep: str) -> DataFrame:
     """``keep`` columns of ``encoded(ids, ...)`` with ``decoded``, the bytes of the tokens; null ids give no bytes."""
     spark = encoded.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(ranks)
-    names = list(dict.fromkeys([*keep, "ids"]))
-    frame = encoded.select(*names)
-    out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != "ids"] + ["decoded binary"])
-    if "ids" not in keep:
-        return frame.mapInArrow(lambda b: _decode(b, shared), out)
-    both = frame.withColumn("kept_ids", F.col("ids"))
-    return both.mapInArrow(lambda b: _decode(b, shared), _schema(both, "ids", "decoded binary")).withColumnRenamed("kept_ids", "ids")
+    bound_blocks(spark)
+    shared = spark.sparkContext.broadcast(tokens_by_rank(ranks))
+    frame = encoded.select(*dict.fromkeys([*keep, "ids"]))
+    # Ids go to the workers once, whether they are kept or not.
+    names = [c for c in frame.columns if c != "ids"] + ["ids"] * ("ids" in keep)
+    out = ", ".join([f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in names] + ["decoded binary"])
+    return frame.mapInArrow(lambda b: _decode(b, shared, names), out)

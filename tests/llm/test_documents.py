@@ -378,3 +378,14 @@ def test_tokens_of_whole_characters_do_not_move_the_decoder():
     ids = [RANKS[b" the"], RANKS["é".encode()], RANKS["日".encode()[:1]], RANKS["日".encode()[1:2]], RANKS["日".encode()[2:]], RANKS[b" the"]]
     assert decoder.feed(np.array(ids[:4])) == " theé".encode() and decoder.feed(ids[4:]) == "日 the".encode() and decoder.close() == b""
     assert sorted(k >> 3 for k in decoder._moves) == sorted(ids[2:5])
+
+
+def test_the_encoder_and_the_decoder_get_blocks_of_bounded_bytes(spark):
+    import pyarrow as pa
+
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat(cast(id as string), 2500)").alias("text"))
+    decoded = bpe.decode(bpe.encode(docs, RANKS, P.PATTERN, "doc_id"), RANKS, "doc_id", "ids")
+    # Ids reach the decoder once.
+    assert decoded.columns == ["doc_id", "ids", "decoded"] and "kept_ids" not in decoded._jdf.queryExecution().toString()
+    sizes = docs.mapInArrow(lambda blocks: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in blocks), "n bigint")
+    assert max(r.n for r in sizes.collect()) < 9 << 20
