@@ -1,54 +1,47 @@
 """Each repeated record of a stream, once, from a history that is bounded in time.
 
-The history of a key is a counter and the time of its last record, held in Spark's state store; a timer drops it when the
-watermark has passed that time by ``keep``.  Rows of a key pass one task, a block at a time; where only numbers
+The history of a key is a counter and the time of its last record, held in Spark's state store; a timeout drops it when the
+watermark has passed that time by ``keep``.  Histories travel with the rows in blocks of many keys, so a key costs no calls
+to the store.  Rows of a key pass one task, a block at a time; where only numbers
 matter, :func:`campanile.streaming.repeats.key_counts` combines them before the shuffle.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT = "record_key string, occurrence bigint, record_time timestamp"
+HISTORY = "records bigint, last_ms bigint"
 
 
-class RepeatHistory(StatefulProcessor):
+def numbered(keep_ms: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
     """Numbers the records of a key and emits the second and later ones."""
-
-    def __init__(self, keep_ms: int):
-        self.keep_ms = keep_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "records bigint, last_ms bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        records, last = self.seen.get() if self.seen.exists() else (0, -1)
-        before = last
-        for block in rows:
-            numbers = range(records + 1, records + len(block) + 1)
-            out = pd.DataFrame({"record_key": key[0], "occurrence": numbers, "record_time": block["record_time"]})
-            records += len(block)
+    def number(key: tuple, blocks: Iterator[pd.DataFrame], seen: GroupState) -> Iterator[pd.DataFrame]:
+        if seen.hasTimedOut:
+            seen.remove()
+            return
+        records, last = seen.get if seen.exists else (0, -1)
+        for block in blocks:
             last = max(last, int(block["record_time"].max().timestamp() * 1000))
-            yield out[out["occurrence"] > 1]
-        self.seen.update((records, last))
-        if last != before:
-            if before >= 0:
-                self.handle.deleteTimer(before + self.keep_ms)
-            self.handle.registerTimer(last + self.keep_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        return iter([])
+            again = block["record_time"].iloc[0 if records else 1:]
+            if len(again):
+                upto = records + len(block) + 1
+                yield pd.DataFrame({"record_key": key[0], "occurrence": range(upto - len(again), upto), "record_time": again})
+            records += len(block)
+        if last + keep_ms < seen.getCurrentWatermarkMs():
+            if seen.exists:
+                seen.remove()
+        else:
+            seen.update((records, last))
+            seen.setTimeoutTimestamp(last + keep_ms)
 
-    def close(self) -> None:
-        pass
+    return number
 
 
 def repeated_within(records: DataFrame, key: str, time_col: str, keep: str, watermark: str) -> DataFrame:
@@ -57,11 +50,11 @@ def repeated_within(records: DataFrame, key: str, time_col: str, keep: str, wate
     ``keep`` bounds the history: a key without a record for that long, by the watermark, counts from one again.
     Rows without a key or time are skipped, and such as are later than the watermark are dropped.
     """
-    # The class travels by value, so executors need not have this package.
+    # The function travels by value, so executors need not have this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     keep_ms = records.sparkSession.sql(
         f"SELECT unix_millis(TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL {keep}) AS ms").first()["ms"]
     rows = records.filter(F.col(key).isNotNull() & F.col(time_col).isNotNull()).select(
         F.col(key).alias("record_key"), F.col(time_col).alias("record_time"))
-    return rows.withWatermark("record_time", watermark).groupBy("record_key").transformWithStateInPandas(
-        RepeatHistory(keep_ms), OUTPUT, "append", "eventTime")
+    return rows.withWatermark("record_time", watermark).groupBy("record_key").applyInPandasWithState(
+        numbered(keep_ms), OUTPUT, HISTORY, "append", GroupStateTimeout.EventTimeTimeout)

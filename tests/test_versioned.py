@@ -241,3 +241,10 @@ def test_a_history_forgets_keys_that_stay_away(spark, folder):
     assert send(("a", "10:40:00"), ("c", "10:41:00")) == [("a", 2), ("a", 3)]
     send(("d", "11:30:00"))  # b is forgotten, a isn't
     assert send(("b", "11:35:00"), ("a", "11:36:00")) == [("a", 2), ("a", 3), ("a", 4)]
+
+
+def test_histories_travel_in_blocks_of_keys(spark, folder):
+    spark.createDataFrame([("a", at("2024-01-01 10:00:00"))], "k string, t timestamp").write.parquet(f"{folder}/in")
+    found = repeat_history.repeated_within(spark.readStream.schema("k string, t timestamp").parquet(f"{folder}/in"), "k", "t", "1 hour", "1 minute")
+    logical = found._jdf.queryExecution().logical().toString()
+    assert "FlatMapGroupsInPandasWithState" in logical and "TransformWithState" not in logical
