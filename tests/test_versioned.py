@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import random
+from datetime import timedelta
 from decimal import Decimal
 
 import pytest
@@ -248,3 +250,34 @@ def test_histories_travel_in_blocks_of_keys(spark, folder):
     found = repeat_history.repeated_within(spark.readStream.schema("k string, t timestamp").parquet(f"{folder}/in"), "k", "t", "1 hour", "1 minute")
     logical = found._jdf.queryExecution().logical().toString()
     assert "FlatMapGroupsInPandasWithState" in logical and "TransformWithState" not in logical
+
+
+def test_histories_of_many_keys_are_few_values(spark, folder):
+    """Against counters of Python: more keys than buckets, buckets of several blocks, keys that are forgotten, late rows."""
+    rng, start, keep, delay = random.Random(1), at("2024-01-01 10:00:00"), timedelta(hours=1), timedelta(minutes=1)
+    keys = ["hot"] * 500 + [f"k{i}:ü" for i in range(3000)]
+    held, mark, wanted, values = {}, at("1970-01-01 00:00:00"), [], []
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        for n in range(4):
+            made = [(rng.choice(keys), start + timedelta(minutes=n * 40, seconds=rng.randrange(2400))) for _ in range(4000)]
+            made += [(None, start), ("late", at("2024-01-01 10:30:00")), (rng.choice(keys), None)]
+            spark.createDataFrame(made, "k string, t timestamp").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            found = repeat_history.repeated_within(spark.readStream.schema("k string, t timestamp").parquet(f"{folder}/in"), "k", "t", "1 hour", "1 minute")
+            query = (found.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{folder}/checkpoint")
+                     .format("parquet").option("path", f"{folder}/out").start())
+            query.awaitTermination()
+            for k, t in made:
+                if k and t and t > mark:
+                    count, last = held.get(k, (0, t))
+                    held[k] = count + 1, max(last, t)
+                    wanted += [(k, count + 1)] if count else []
+            mark = max(t for k, t in made if k and t) - delay
+            held = {k: (count, last) for k, (count, last) in held.items() if last + keep >= mark}
+            values.append(query.lastProgress.stateOperators[0].numRowsTotal)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = spark.read.schema(repeat_history.OUTPUT).parquet(f"{folder}/out")
+    assert table(got, "record_key", "occurrence") == sorted(wanted, key=repr)
+    assert len({k for k, _ in wanted}) > 1024 >= max(values)
+    assert got.filter("record_time IS NULL").count() == 0 and "late" not in {k for k, _ in wanted}
